@@ -18,9 +18,14 @@ def tenth(text: Column, precision: int = 10) -> Column:
     return text.try_cast(f"decimal({precision},1)")
 
 
+# Amounts and their sums have four fraction digits. 18 digits still fit a machine word.
+MONEY = "decimal(18,4)"
+MONEY_SUM = "decimal(28,4)"
+
+
 def money(text: Column) -> Column:
-    """Amounts are text in the warehouse; they are summed as decimals with four fraction digits."""
-    return text.try_cast("decimal(10,4)")
+    """An amount from its text in the warehouse; null when unreadable."""
+    return text.try_cast(MONEY)
 
 
 def share(part: Column, rest: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutorlake.functions.days import OPEN_END, day_to_date_text
+from tutorlake.functions.numbers import MONEY_SUM
 
 MEMBER_KEY = ["uid", "dn"]
 
@@ -63,7 +64,7 @@ def payment_summary(payment: DataFrame, vip_level: DataFrame) -> DataFrame:
         return F.min_by(column, "matched_vip_id").alias(column)
 
     return joined.groupBy(*MEMBER_KEY).agg(
-        F.sum("paid").cast("decimal(20,4)").alias("paymoney"),
+        F.sum("paid").cast(MONEY_SUM).alias("paymoney"),
         F.min("matched_vip_id").alias("vip_id"),
         F.max("vip_level").alias("vip_level"),
         F.min("vip_start_time").alias("vip_start_time"),
@@ -112,7 +113,7 @@ def day_payments(payment: DataFrame, vip_level: DataFrame, from_day: str | None
     joined = per_level.join(vip_level.select("vip_id", "dn", "vip_level"), ["vip_id", "dn"])
     return (
         joined.groupBy(*MEMBER_KEY, "dt")
-        .agg(F.sum("paid").cast("decimal(20,4)").alias("paymoney"), F.max("vip_level").alias("vip_level"))
+        .agg(F.sum("paid").cast(MONEY_SUM).alias("paymoney"), F.max("vip_level").alias("vip_level"))
         .select(
             "uid",
             "paymoney",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tutorlake.functions.days import OPEN_END
+from tutorlake.functions.numbers import MONEY_SUM
 
 ZIPPER_COLUMNS = ["uid", "paymoney", "vip_level", "start_time", "end_time", "dn"]
 
@@ -34,7 +35,7 @@ def zipper_merge(history: DataFrame, days: DataFrame, from_date: str) -> DataFra
     next_start = F.lead("start_time").over(by_start)
     merged = rows.select(
         "uid",
-        F.when(F.col("is_new"), carried).otherwise(F.col("paymoney")).cast("decimal(20,4)").alias("paymoney"),
+        F.when(F.col("is_new"), carried).otherwise(F.col("paymoney")).cast(MONEY_SUM).alias("paymoney"),
         "vip_level",
         "start_time",
         F.when(is_open, F.coalesce(next_start, F.lit(OPEN_END))).otherwise(F.col("end_time")).alias("end_time"),

@@ -54,7 +54,6 @@ VIEWS = {
         "dws_member",
         keep="uid ad_id memberlevel register appregurl regsource regsourcename adname siteid sitename vip_level "
         "paymoney dt dn",
-        money="paymoney",
     ),
     "qz_chapter": _view("dwd_qz_chapter", **_prefixed("chapter", "creator", "createtime", "courseid")),
     "qz_chapter_list": _view(
