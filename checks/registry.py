@@ -20,7 +20,7 @@ from tutorlake.session import fresh_dir, stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.lines import json_objects
 from tutorlake.sources.logs import LOGS, clean
-from tutorlake.sources.tables import read_version
+from tutorlake.sources.tables import read_version, spread
 from tutorlake.sources.views import VIEWS, view
 from tutorlake.streaming import jobs
 from tutorlake.streaming.sinks import current
@@ -59,7 +59,9 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def raw_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    lines = read(spark, sf_dir, ORIGINS[table][0]).select(F.expr(good_line(table)).alias("line"))
+    """Spread first: the given tables are single files with one row group, hence a single task."""
+    rows = read(spark, sf_dir, ORIGINS[table][0])
+    lines = spread(rows, *rows.columns[:4]).select(F.expr(good_line(table)).alias("line"))
     line = F.col("line")
     broken = [
         F.left(line, F.length(line) - 1), F.concat(F.lit("["), line, F.lit("]")), F.concat(line, F.lit(" tail")),

@@ -45,14 +45,18 @@ SUPPLIERS = "{supplier} join {nation} on s_nationkey = n_nationkey"
 NATIONS = "{nation}"
 # Every combination of a fifth of the nations with a site.
 FIFTHS = "(select cast(floor(n_nationkey / 5) as int) as fifth, n_nationkey % 5 as n_regionkey from {nation}) f"
-SOLD_PARTS = (
-    "(select distinct l_partkey, p_size, n_regionkey from {lineitem} join {part} on l_partkey = p_partkey "
-    "join {supplier} on l_suppkey = s_suppkey join {nation} on s_nationkey = n_nationkey) sold"
+# Suppliers, and nations, on each of the five sites.
+SUPPLIER_SITES = (
+    "(select s_suppkey, s_nationkey, n_nationkey % 5 as n_regionkey from {supplier} join {nation} "
+    "on floor(s_nationkey / 5) = floor(n_nationkey / 5)) s"
 )
-SOLD_SIZES = (
-    "(select distinct p_size, n_regionkey from {lineitem} join {part} on l_partkey = p_partkey "
-    "join {supplier} on l_suppkey = s_suppkey join {nation} on s_nationkey = n_nationkey) sizes"
+NATION_SITES = (
+    "(select a.n_nationkey, a.n_name, a.n_regionkey as home, b.n_nationkey % 5 as n_regionkey from {nation} a "
+    "join {nation} b on floor(a.n_nationkey / 5) = floor(b.n_nationkey / 5)) n"
 )
+# Each part has one site.
+PARTS = "(select *, p_partkey % 5 as n_regionkey from {part}) p"
+SIZES = "(select distinct p_size, p_partkey % 5 as n_regionkey from {part}) sizes"
 FIRST_ORDERS = (
     "(select o_custkey as buyer, min(o_orderkey) as first_order from {orders} group by o_custkey) b "
     "join {orders} on o_orderkey = first_order join {customer} on c_custkey = buyer "
@@ -85,71 +89,64 @@ WAREHOUSE = {
         start_time="'2019-01-0' || cast(fifth + 1 as string)", end_time="'2020-01-0' || cast(fifth + 1 as string)",
     ),
     "dwd_qz_chapter": shaped(
-        "dwd_qz_chapter", SUPPLIERS, "s_suppkey", chapterid="s_suppkey", chapterlistid="n_regionkey",
+        "dwd_qz_chapter", SUPPLIER_SITES, "s_suppkey", chapterid="s_suppkey", chapterlistid="s_nationkey % 5",
         courseid="s_nationkey",
     ),
-    "dwd_qz_chapter_list": shaped(
-        "dwd_qz_chapter_list", "{region}", "r_regionkey", chapterlistid="r_regionkey",
-        dn="'r' || cast(r_regionkey as string)",
-    ),
+    "dwd_qz_chapter_list": shaped("dwd_qz_chapter_list", FIFTHS, "fifth", chapterlistid="fifth"),
     "dwd_qz_point": shaped(
-        "dwd_qz_point", SUPPLIERS, "s_suppkey", pointid="s_suppkey", chapterid="s_suppkey", courseid="s_nationkey",
+        "dwd_qz_point", SUPPLIER_SITES, "s_suppkey", pointid="s_suppkey", chapterid="s_suppkey",
+        courseid="s_nationkey",
     ),
-    # A point for each supplier, with a question for each of its return flags.
+    # A point for each supplier and site, with a question for each return flag of what was sold there.
     "dwd_qz_point_question": shaped(
         "dwd_qz_point_question",
-        "(select distinct l_suppkey, l_returnflag, n_regionkey from {lineitem} join {supplier} on l_suppkey = "
-        "s_suppkey join {nation} on s_nationkey = n_nationkey) flags",
+        "(select distinct l_suppkey, l_returnflag, l_partkey % 5 as n_regionkey from {lineitem}) flags",
         "l_suppkey", pointid="l_suppkey",
         questionid="l_suppkey * 3 + case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end",
     ),
     "dwd_qz_site_course": shaped(
-        "dwd_qz_site_course", SUPPLIERS, "s_suppkey", sitecourseid="s_suppkey", siteid="s_nationkey",
+        "dwd_qz_site_course", SUPPLIER_SITES, "s_suppkey", sitecourseid="s_suppkey", siteid="s_nationkey",
         courseid="s_nationkey",
     ),
     "dwd_qz_course": shaped(
-        "dwd_qz_course", NATIONS, "n_nationkey", courseid="n_nationkey", majorid="n_regionkey",
-        coursename="n_name",
+        "dwd_qz_course", NATION_SITES, "n_nationkey", courseid="n_nationkey", majorid="home", coursename="n_name",
     ),
     "dwd_qz_course_edusubject": shaped(
-        "dwd_qz_course_edusubject", NATIONS, "n_nationkey", courseid="n_nationkey", edusubjectid="n_nationkey % 7",
+        "dwd_qz_course_edusubject", NATION_SITES, "n_nationkey", courseid="n_nationkey",
+        edusubjectid="n_nationkey % 7",
     ),
     "dwd_qz_major": shaped(
-        "dwd_qz_major", NATIONS, "n_nationkey", majorid="n_nationkey", siteid="n_nationkey",
-        businessid="n_regionkey",
-    ),
-    "dwd_qz_website": shaped("dwd_qz_website", NATIONS, "n_nationkey", siteid="n_nationkey", sitename="n_name"),
-    "dwd_qz_business": shaped(
-        "dwd_qz_business", "{region}", "r_regionkey", businessid="r_regionkey", businessname="r_name",
-        dn="'r' || cast(r_regionkey as string)",
+        "dwd_qz_major", NATION_SITES, "n_nationkey", majorid="n_nationkey", siteid="n_nationkey", businessid="home",
     ),
-    "dwd_qz_paper_view": shaped(
-        "dwd_qz_paper_view", SOLD_PARTS, "l_partkey", paperviewid="l_partkey", paperid="p_size",
+    "dwd_qz_website": shaped(
+        "dwd_qz_website", NATION_SITES, "n_nationkey", siteid="n_nationkey", sitename="n_name",
     ),
+    "dwd_qz_business": shaped("dwd_qz_business", FIFTHS, "fifth", businessid="fifth"),
+    "dwd_qz_paper_view": shaped("dwd_qz_paper_view", PARTS, "p_partkey", paperviewid="p_partkey", paperid="p_size"),
     # Even paper views only have a centre, and centre 5 does not exist.
     "dwd_qz_center_paper": shaped(
-        "dwd_qz_center_paper", SOLD_PARTS, "l_partkey", paperviewid="l_partkey * 2", centerid="p_size % 6",
+        "dwd_qz_center_paper", PARTS, "p_partkey", paperviewid="p_partkey * 2", centerid="p_size % 6",
+        dn="'r' || cast(p_partkey * 2 % 5 as string)",
     ),
     "dwd_qz_center": shaped("dwd_qz_center", FIFTHS, "fifth", centerid="fifth"),
     # Even papers only exist, so paper views of odd papers drop out.
-    "dwd_qz_paper": shaped("dwd_qz_paper", SOLD_SIZES, "p_size", paperid="p_size * 2"),
+    "dwd_qz_paper": shaped("dwd_qz_paper", SIZES, "p_size", paperid="p_size * 2"),
     "dwd_qz_question": shaped(
-        "dwd_qz_question", SOLD_PARTS, "l_partkey", questionid="l_partkey", questypeid="p_size % 7",
+        "dwd_qz_question", PARTS, "p_partkey", questionid="p_partkey", questypeid="p_size % 7",
     ),
     # Types 1 to 7, so questions of type 0 drop out.
     "dwd_qz_question_type": shaped(
         "dwd_qz_question_type",
-        "(select distinct p_size % 7 + 1 as type_no, n_regionkey from {lineitem} join {part} on l_partkey = p_partkey "
-        "join {supplier} on l_suppkey = s_suppkey join {nation} on s_nationkey = n_nationkey) types",
+        "(select distinct p_size % 7 + 1 as type_no, p_partkey % 5 as n_regionkey from {part}) types",
         "type_no", questypeid="type_no",
     ),
     "dwd_qz_member_paper_question": shaped(
         "dwd_qz_member_paper_question",
-        "{lineitem} join {orders} on l_orderkey = o_orderkey join {supplier} on l_suppkey = s_suppkey "
-        "join {nation} on s_nationkey = n_nationkey",
+        "{lineitem} join {orders} on l_orderkey = o_orderkey join {supplier} on l_suppkey = s_suppkey",
         "l_orderkey", userid="o_custkey", paperviewid="l_partkey", chapterid="l_suppkey", sitecourseid="l_suppkey",
         questionid="l_partkey", majorid="s_nationkey", paperid="l_partkey", spendtime="l_linenumber * 60",
         score="l_quantity * 2.1", question_answer="case l_linestatus when 'O' then 1 else 0 end",
+        dn="'r' || cast(l_partkey % 5 as string)",
     ),
 }
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# No table is broadcast by hint. Below this size Spark broadcasts on its own, beyond it it shuffles.
+BROADCAST_LIMIT = "64MB"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,6 +24,8 @@ def build_session(app: str = "tutorlake", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", BROADCAST_LIMIT)
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
