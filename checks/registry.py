@@ -20,7 +20,7 @@ from tutorlake.session import fresh_dir, stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.lines import json_objects
 from tutorlake.sources.logs import LOGS, clean
-from tutorlake.sources.tables import read_version, spread
+from tutorlake.sources.tables import read_version, settle, spread
 from tutorlake.sources.views import VIEWS, view
 from tutorlake.streaming import jobs
 from tutorlake.streaming.sinks import current
@@ -162,13 +162,12 @@ def day_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zipper(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The days before the split as history, then the days from the split on, then those again."""
+    """The days before the split become the stored history, to which the days from the split are added."""
     days = members.day_payments(payments(spark, sf_dir), shape(spark, sf_dir, "dwd_vip_level"))
     date = f"{ZIPPER_SPLIT_DAY[:4]}-01-01"
     earlier, later = days.where(F.col("start_time") < date), days.where(F.col("start_time") >= date)
-    history = zipper_merge(days.where(F.lit(False)), earlier, "0001-01-01")
-    once = zipper_merge(history, later, date)
-    return plain(zipper_merge(once, later, date))
+    history = settle(zipper_merge(days.where(F.lit(False)), earlier, "0001-01-01"), "zipper")
+    return plain(zipper_merge(history, later, date))
 
 
 def member_count(report: str) -> Query:

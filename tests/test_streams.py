@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import random
 
 import numpy as np
@@ -33,7 +34,10 @@ class Feed:
         self.root, self.files = str(tmp_path / "out"), 0
 
     def add(self, texts):
-        (self.folder / f"part-{self.files:04d}.txt").write_text("\n".join(texts) + "\n")
+        file = self.folder / f"part-{self.files:04d}.txt"
+        file.write_text("\n".join(texts) + "\n")
+        # Files are taken in order of their time, which must differ.
+        os.utime(file, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
         self.files += 1
 
     def run(self, job, *more, **options):

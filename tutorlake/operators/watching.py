@@ -51,11 +51,10 @@ def _by_start(events: DataFrame) -> DataFrame:
     adds nothing), and their elapsed times add up. A video watched by a third of all events shrinks
     to at most one row per second of its length.
     """
-    elapsed = whole_units(F.col("ts"), F.col("te"))
-    longest = F.max(F.struct(F.col("pe"), elapsed.alias("elapsed")))
-    grouped = events.withColumnRenamed("uid", "userid").groupBy(*VIDEO, "ps")
-    return grouped.agg(longest.alias("longest"), F.sum(elapsed).alias("total")).select(
-        *VIDEO, "ps", F.col("longest.pe").alias("pe"), F.col("longest.elapsed").alias("elapsed"), "total"
+    elapsed = F.coalesce(whole_units(F.col("ts"), F.col("te")), F.lit(0).cast("bigint"))
+    end_then_time = F.col("pe").cast("bigint") * F.lit(2**32) + elapsed
+    return events.withColumnRenamed("uid", "userid").groupBy(*VIDEO, "ps").agg(
+        F.max("pe").alias("pe"), F.max_by(elapsed, end_then_time).alias("elapsed"), F.sum(elapsed).alias("total")
     )
 
 

@@ -19,26 +19,25 @@ def zipper_merge(history: DataFrame, days: DataFrame, from_date: str) -> DataFra
     ``yyyy-MM-dd``. History from that date on is rebuilt: rows that start there are dropped and rows
     that were closed there are reopened, so running a day again gives the same table.
 
-    One shuffle by member and site. A window holds at most one row per day of one member, since day
-    rows are summed beforehand, so no member can overload a task.
+    Rows closed before ``from_date`` cannot change and pass by without a shuffle, so the shuffle holds
+    one open row per member and the new rows, however long the history grows. A window holds at most
+    one row per new day of one member, since day rows are summed beforehand.
     """
-    kept = history.where(F.col("start_time") < F.lit(from_date)).withColumn(
-        "end_time",
-        F.when(F.col("end_time") >= F.lit(from_date), F.lit(OPEN_END)).otherwise(F.col("end_time")),
-    )
-    rows = kept.withColumn("is_new", F.lit(False)).unionByName(days.withColumn("is_new", F.lit(True)))
+    start, end, date = F.col("start_time"), F.col("end_time"), F.lit(from_date)
+    closed = history.where((start < date) & (end < date)).select(*ZIPPER_COLUMNS)
+    reopened = history.where((start < date) & (end >= date)).withColumn("end_time", F.lit(OPEN_END))
+    rows = reopened.withColumn("is_new", F.lit(False)).unionByName(days.withColumn("is_new", F.lit(True)))
 
     by_start = Window.partitionBy("uid", "dn").orderBy("start_time")
     until_now = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    is_open = F.col("end_time") == OPEN_END
-    carried = F.sum(F.when(F.col("is_new") | is_open, F.col("paymoney"))).over(until_now)
+    carried = F.sum("paymoney").over(until_now)
     next_start = F.lead("start_time").over(by_start)
     merged = rows.select(
         "uid",
         F.when(F.col("is_new"), carried).otherwise(F.col("paymoney")).cast(MONEY_SUM).alias("paymoney"),
         "vip_level",
         "start_time",
-        F.when(is_open, F.coalesce(next_start, F.lit(OPEN_END))).otherwise(F.col("end_time")).alias("end_time"),
+        F.coalesce(next_start, F.lit(OPEN_END)).alias("end_time"),
         "dn",
     )
-    return merged.select(*ZIPPER_COLUMNS)
+    return closed.unionByName(merged)
