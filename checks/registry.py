@@ -34,9 +34,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table as a stream of files."""
-    schema = read(spark, sf_dir, table).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    """A table as a stream of files, spread over the cores like a batch read if it is too few pieces."""
+    stored = read(spark, sf_dir, table)
+    stream = spark.readStream.schema(stored.schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    return stream if stored.rdd.getNumPartitions() >= cores else stream.repartition(cores, stored.columns[0])
 
 
 def shape(spark: SparkSession, sf_dir: str, name: str, reader=read) -> DataFrame:

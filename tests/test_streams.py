@@ -7,7 +7,6 @@ import os
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -289,5 +288,6 @@ def test_archive_and_replay(spark, feed, tmp_path):
 
 
 def test_longest_event_wins_at_equal_starts():
-    events = pd.DataFrame({"ps": [1, 1, 2], "pe": [5, 9, 3], "elapsed": [7, 2, 1]})
-    assert coverage_state.longest_by_start(events).values.tolist() == [[1, 9, 2], [2, 3, 1]]
+    events = np.array([[1, 2, 1, 1], [5, 3, 9, 9], [7, 1, 2, 1]])
+    assert coverage_state.longest_by_start(events).tolist() == [[1, 2], [9, 3], [2, 1]]
+    assert coverage_state.longest_by_start(events[:, :0]).shape == (3, 0)

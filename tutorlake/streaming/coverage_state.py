@@ -1,17 +1,21 @@
 """Watched ranges of each learner and video as streaming state.
 
 How much of an event is newly covered depends on everything seen before, so this is the one place
-where state is updated by a function of ours. The function works on arrays, not row by row.
+where state is updated by a function of ours. It turns incoming rows into arrays and works on those; a
+frame per learner and video would cost more than the work itself, as most have a few events per batch.
+The module is sent along with the function, so executors need numpy but no copy of this package.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from itertools import islice
 from typing import Any
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -23,6 +27,7 @@ OUTPUT_SCHEMA = (
     "userid int, cwareid int, videoid int, totaltime bigint, effecttime bigint, completetime bigint, "
     "play_interval string"
 )
+CHUNK = 10_000
 
 
 def join_ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,9 +59,14 @@ def newly_covered(
     return (high - low) - (length_below(starts, ends, high) - length_below(starts, ends, low))
 
 
-def longest_by_start(events: pd.DataFrame) -> pd.DataFrame:
-    """One event per start position: the longest, and of equal ones the one that took longest."""
-    return events.sort_values(["ps", "pe", "elapsed"]).drop_duplicates("ps", keep="last")
+def longest_by_start(events: np.ndarray) -> np.ndarray:
+    """Of events (rows ``ps``, ``pe``, ``elapsed``), one per start position, in order of position.
+
+    The longest is kept, and of equal ones the one that took longest.
+    """
+    ordered = events[:, np.lexsort(events[::-1])]
+    last = np.append(ordered[0, 1:] != ordered[0, :-1], True)[: ordered.shape[1]]
+    return ordered[:, last]
 
 
 class CoverageProcessor(StatefulProcessor):
@@ -69,31 +79,27 @@ class CoverageProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.watched = handle.getValueState("watched", STATE_SCHEMA)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        starts, ends, total, effective = np.empty(0, "int64"), np.empty(0, "int64"), 0, 0
-        if self.watched.exists():
-            known_starts, known_ends, total, effective = self.watched.get()
-            starts, ends = np.array(known_starts, "int64"), np.array(known_ends, "int64")
-
-        events = None
-        for chunk in rows:
-            total += int(chunk["elapsed"].sum())
-            reduced = chunk[["ps", "pe", "elapsed"]]
-            events = longest_by_start(reduced if events is None else pd.concat([events, reduced]))
-        events = events[events["pe"] > events["ps"]]
-
-        ps, pe, elapsed = (events[name].to_numpy("int64") for name in ("ps", "pe", "elapsed"))
-        if len(ps):
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        known_starts, known_ends, total, effective = self.watched.get() or ([], [], 0, 0)
+        starts, ends = np.array(known_starts, "int64"), np.array(known_ends, "int64")
+
+        rows = iter(rows)
+        events = np.empty((3, 0), "int64")
+        while chunk := [(row.ps, row.pe, row.elapsed) for row in islice(rows, CHUNK)]:
+            arrived = np.array(chunk, "int64").T
+            total += int(arrived[2].sum())
+            events = longest_by_start(np.concatenate([events, arrived[:, arrived[1] > arrived[0]]], axis=1))
+        if events.size:
+            ps, pe, elapsed = events
             fresh = newly_covered(starts, ends, ps, pe)
             effective += int((elapsed * fresh // (pe - ps)).sum())
             starts, ends = join_ranges(np.concatenate([starts, ps]), np.concatenate([ends, pe]))
 
         self.watched.update((starts.tolist(), ends.tolist(), total, effective))
-        text = ",".join(f"{low}-{high}" for low, high in zip(starts, ends))
-        completed = int((ends - starts).sum())
-        yield pd.DataFrame(
-            [[*key, total, effective, completed, text]],
-            columns=[*VIDEO, "totaltime", "effecttime", "completetime", "play_interval"],
+        text = ",".join(f"{low}-{high}" for low, high in zip(starts.tolist(), ends.tolist()))
+        yield Row(
+            userid=key[0], cwareid=key[1], videoid=key[2], totaltime=total, effecttime=effective,
+            completetime=int((ends - starts).sum()), play_interval=text,
         )
 
     def close(self) -> None:
@@ -102,10 +108,11 @@ class CoverageProcessor(StatefulProcessor):
 
 def tracked_coverage(events: DataFrame) -> DataFrame:
     """Streaming watched ranges and times per learner and video; only needed columns reach Python."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     needed = events.select(
         F.col("uid").alias("userid"), "cwareid", "videoid", "ps", "pe",
         F.coalesce(whole_units(F.col("ts"), F.col("te")), F.lit(0)).alias("elapsed"),
     )
-    return needed.groupBy(*VIDEO).transformWithStateInPandas(
+    return needed.groupBy(*VIDEO).transformWithState(
         CoverageProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="None"
     )
