@@ -29,9 +29,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 ZIPPER_SPLIT_DAY = "19970101"
 
 
+# Schemas of stored tables, inferred once: a query reads some tables many times.
+SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A whole table. The given lineitem is one file with one row group, so a single task unless spread."""
-    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    rows = spark.read.schema(SCHEMAS[path]).parquet(path)
     return spread(rows, "l_orderkey", "l_linenumber") if table == "lineitem" else rows
 
 
@@ -277,7 +284,9 @@ def register_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def result(s, root):
         rows = current(s, root, "register_window", jobs.WINDOW_KEY)
-        return rows.select(time_text(F.col("window_start")).alias("window_start"), "app_name", "num")
+        # Windows are in UTC, whatever the time zone of the session that reads them.
+        utc = F.expr("timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, unix_seconds(window_start))")
+        return rows.select(time_text(utc).alias("window_start"), "app_name", "num")
 
     return run_job(spark, sf_dir, "register_sliding", "register_events", tab_lines, job, result)
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from decimal import Decimal
 
 import pytest
 from conftest import rows
 
 from tutorlake.functions.coding import BANDS
+from tutorlake.operators.paper_reports import paper_averages
 from tutorlake.plans.cleaning import clean_logs
 from tutorlake.plans.member_day import member_day, update_zipper
 from tutorlake.plans.quiz_day import quiz_day
@@ -135,6 +137,13 @@ def test_quiz_day(spark, warehouse):
     assert (first.chaptername, first.majorname, first.papername, first.question_content) == ("c1", "m1", "paper", "q2")
     assert (first.question_description, first.centerid, str(first.point_score)) == ("about", None, "1.3")
 
+    plan = paper_averages(detail, DAY)._jdf.queryExecution().executedPlan().toString()
+    read = re.search(r"ReadSchema: struct<(.*)>", plan).group(1)
+    assert {part.split(":")[0] for part in re.findall(r"\w+:\w+", read)} == {
+        "paperviewid", "paperviewname", "score", "spendtime"
+    }
+    assert "PartitionFilters: [isnotnull(dt" in plan
+
     def report(table, *columns):
         return rows(read_table(spark, root, table, DAY), *columns)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tutorlake.operators import learners, pages, watching
 from tutorlake.session import stream_session
 from tutorlake.sources import streams
-from tutorlake.sources.tables import read_version, versions
+from tutorlake.sources.tables import drop_versions, read_version, versions, write_version
 from tutorlake.streaming import coverage_state, jobs, sinks
 from tutorlake.streaming.publish import publish_files, read_lines
 
@@ -263,6 +263,16 @@ def test_a_retried_batch_counts_once(spark, tmp_path):
     assert rows(sinks.current(spark, root, "t", ["k"])) == [("a", 3), ("b", 1)]
 
 
+def test_old_versions_can_be_dropped(spark, tmp_path):
+    for version in range(5):
+        write_version(spark.createDataFrame([(version,)], "n int"), str(tmp_path), "t", version)
+    drop_versions(spark, str(tmp_path), "t", keep=2)
+    assert versions(spark, str(tmp_path), "t") == [3, 4]
+    assert rows(read_version(spark, str(tmp_path), "t")) == [(4,)]
+    assert rows(read_version(spark, str(tmp_path), "t", before=4)) == [(3,)]
+    assert read_version(spark, str(tmp_path), "t", before=3) is None
+
+
 def test_top_three_and_totals(spark):
     history = spark.createDataFrame([("a", 5), ("b", 2), (None, 1)], "province string, num bigint")
     batch = spark.createDataFrame([("b", 4), ("c", 6), (None, 2)], "province string, num bigint")

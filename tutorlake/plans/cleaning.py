@@ -9,6 +9,9 @@ from tutorlake.sources.tables import write_table
 
 
 def clean_logs(spark: SparkSession, log_dir: str, root: str, tables: list[str] | None = None) -> None:
-    """Clean the named logs (all by default). A rerun replaces the days and sites it finds."""
+    """Clean the named logs (all by default). A rerun replaces the days and sites it finds.
+
+    A log goes from its splits to its table in one narrow pass, without a shuffle.
+    """
     for table in tables or list(LOGS):
-        write_table(read_log(spark, log_dir, table), root, table, LOGS[table].partitions)
+        write_table(read_log(spark, log_dir, table), root, table, LOGS[table].partitions, rebalance=False)

@@ -19,16 +19,16 @@ def on_day(rows: DataFrame, day: str | None) -> DataFrame:
     return rows if day is None else rows.where(F.col("dt") == F.lit(day))
 
 
-def write_table(rows: DataFrame, root: str, table: str, partitions: list[str]) -> None:
+def write_table(rows: DataFrame, root: str, table: str, partitions: list[str], rebalance: bool = True) -> None:
     """Replace exactly the partitions present in ``rows``, so a rerun gives the same table.
 
-    Rows are spread over their partitions plus a hash of the row: a day or site with a third of all
-    rows is then still written by many tasks, unlike with a plain repartition by day. ``REBALANCE``
-    lets AQE choose sensible file sizes and split large ones.
+    Rebalancing groups rows by partition and lets AQE choose file sizes; a day or site with a third of
+    all rows is split over many tasks. Without it every task writes its own files and nothing is
+    shuffled, which suits large inputs with few partitions, such as a day's log.
     """
+    placed = rows.hint("rebalance", *partitions) if rebalance else rows
     (
-        rows.hint("rebalance", *partitions)
-        .write.mode("overwrite")
+        placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(f"{root}/{table}")
@@ -72,6 +72,13 @@ def read_version(
     return spark.read.parquet(f"{root}/{table}/version={usable[-1]:012d}")
 
 
+def drop_versions(spark: SparkSession, root: str, table: str, keep: int = 3) -> None:
+    """Delete all but the newest ``keep`` versions. Keep enough for readers that have already started."""
+    for version in versions(spark, root, table)[:-keep]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/version={version:012d}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
