@@ -31,20 +31,21 @@ ZIPPER_SPLIT_DAY = "19970101"
 
 # Schemas of stored tables, inferred once: a query reads some tables many times.
 SCHEMAS: dict[str, T.StructType] = {}
+FACT_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A whole table. The given lineitem is one file with one row group, so a single task unless spread."""
+    """A whole table. The given facts are single files with one row group, so a single task unless spread."""
     path = f"{sf_dir}/{table}.parquet"
     if path not in SCHEMAS:
         SCHEMAS[path] = spark.read.parquet(path).schema
     rows = spark.read.schema(SCHEMAS[path]).parquet(path)
-    return spread(rows, "l_orderkey", "l_linenumber") if table == "lineitem" else rows
+    return spread(rows, *FACT_KEYS[table]) if table in FACT_KEYS else rows
 
 
 def read_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table as a stream of files, spread over the cores like a batch read if it is too few pieces."""
-    stored = read(spark, sf_dir, table)
+    stored = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     stream = spark.readStream.schema(stored.schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
     cores = spark.sparkContext.defaultParallelism
     return stream if stored.rdd.getNumPartitions() >= cores else stream.repartition(cores, stored.columns[0])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from decimal import Decimal
 
 from conftest import rows
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tutorlake.operators.member_reports import count_members, top_payers
 from tutorlake.operators.members import day_payments, left_chain, member_wide
 from tutorlake.operators.zipper import zipper_merge
+from tutorlake.sources.tables import settle
 
 ZIPPER = "uid int, paymoney decimal(28,4), vip_level string, start_time string, end_time string, dn string"
 OPEN = "9999-12-31"
@@ -119,6 +121,33 @@ def test_zipper_several_days_at_once_equal_day_by_day(spark):
     assert rows(redone) == rows(by_day)
 
 
+def one_row_at_a_time(history, day_rows):
+    """The merge as a loop over one member's rows: close the row before the last one, carry its money."""
+    listed = sorted(history + day_rows, key=lambda r: r["start"])
+    if len(listed) > 1 and listed[-2]["end"] == OPEN and listed[-1] in day_rows:
+        listed[-2]["end"] = listed[-1]["start"]
+        listed[-1]["money"] += listed[-2]["money"]
+    return listed
+
+
+def test_zipper_matches_a_loop_over_days(spark):
+    chance = random.Random(4)
+    dates = [f"2019-07-{20 + n}" for n in range(6)]
+    paid = {(d, u): chance.randint(1, 9) for d in dates for u in range(5) if chance.random() < 0.6}
+    model = {u: [] for u in range(5)}
+    stored = zipper_rows(spark).limit(0)
+    for date in dates:
+        day = []
+        for user in model:
+            if (date, user) in paid:
+                new = {"start": date, "end": OPEN, "money": paid[date, user]}
+                model[user] = one_row_at_a_time(model[user], [new])
+                day.append((user, str(paid[date, user]), "v1", date, OPEN))
+        stored = settle(zipper_merge(stored, zipper_rows(spark, *day), date), "zipper-test")
+    expected = sorted((u, Decimal(r["money"]), r["start"], r["end"]) for u, found in model.items() for r in found)
+    assert sorted((r.uid, r.paymoney, r.start_time, r.end_time) for r in stored.collect()) == expected
+
+
 def test_wide_plan_shuffles_each_large_input_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

@@ -46,7 +46,11 @@ def percent_text(ratio: Column) -> Column:
 
 def ipv4_number(address: Column) -> Column:
     """A dotted address as one number; null when it is not four parts of 0-255."""
-    octets = F.transform(F.split(address, r"\."), lambda part: part.try_cast("bigint"))
-    valid = (F.size(octets) == 4) & F.forall(octets, lambda part: F.coalesce(part.between(0, 255), F.lit(False)))
-    number = F.aggregate(octets, F.lit(0).cast("bigint"), lambda total, part: total * 256 + part)
+    parts = F.split(address, r"\.")
+    octets = [F.get(parts, F.lit(at)).try_cast("int") for at in range(4)]
+    valid = F.size(parts) == 4
+    number = F.lit(0).cast("bigint")
+    for octet in octets:
+        valid = valid & octet.between(0, 255)
+        number = number * 256 + octet
     return F.when(valid, number)

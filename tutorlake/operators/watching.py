@@ -97,6 +97,6 @@ def watched_ranges(events: DataFrame) -> DataFrame:
 
 def range_text(ranges: DataFrame) -> DataFrame:
     """The ranges of each video as text such as ``0-10,15-20``, in order of position."""
-    in_order = F.sort_array(F.collect_list(F.struct("range_start", "range_end")))
-    as_text = F.transform(in_order, lambda r: F.concat_ws("-", r["range_start"], r["range_end"]))
-    return ranges.groupBy(*VIDEO).agg(F.concat_ws(",", as_text).alias("play_interval"))
+    text = F.concat_ws("-", "range_start", "range_end").alias("text")
+    in_order = F.sort_array(F.collect_list(F.struct("range_start", text)))
+    return ranges.groupBy(*VIDEO).agg(F.concat_ws(",", in_order["text"]).alias("play_interval"))
