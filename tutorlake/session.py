@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +36,11 @@ def build_session(app: str = "tutorlake", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tutorlake-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -46,9 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="tutorlake-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return local_dir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
