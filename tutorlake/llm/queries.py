@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tutorlake.llm.packing import op3_vector_best_fit
 from tutorlake.llm.quality import op10_quality_divergence
 from tutorlake.llm.sharding import op2_rendezvous_shards
+from tutorlake.llm.simhash import op6_simhash_golay
+from tutorlake.llm.token_counts import op7_prefix_token_counts
+from tutorlake.llm.toxicity import op4_toxicity_neighbours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_rendezvous_shards,
+        op3_vector_best_fit,
+        op4_toxicity_neighbours,
+        op6_simhash_golay,
+        op7_prefix_token_counts,
         op10_quality_divergence,
     )
 }
