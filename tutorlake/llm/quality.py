@@ -146,11 +146,11 @@ def measure(documents: DataFrame, key: str, text: str, lang: str) -> DataFrame:
 
 
 def references(measured: DataFrame, lang: str) -> DataFrame:
-    """One row per language with the summed histograms of all its texts."""
+    """One row per language of ``COMMON_WORDS`` with the summed histograms of all its texts."""
 
     def summed(name: str) -> DataFrame:
         return (
-            measured.where(F.col(lang).isNotNull())
+            measured.where(F.col(lang).isin(*COMMON_WORDS))
             .select(lang, F.posexplode(name).alias("k", "n"))
             .groupBy(lang, "k")
             .agg(F.sum("n").alias("n"))
@@ -187,12 +187,12 @@ def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     rules hold. Repeated rows are judged each by itself. Columns besides the three are not read.
     """
     measured = settle(measure(documents, key, text, lang), "quality")
-    usual = references(measured, lang)
+    usual = references(measured, lang)  # at most one short row for each language of COMMON_WORDS
     long_enough = (F.col("word_chars") >= GUARD_CHARS) & (F.col("n_words") >= GUARD_WORDS)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     strange = (F.col("class_distance") > CLASS_LIMIT) | (F.col("word_distance") > WORD_LIMIT)
     return (
-        measured.join(usual, F.col(lang) == F.col("of"), "left")
+        measured.join(F.broadcast(usual), F.col(lang) == F.col("of"), "left")
         .withColumn("class_distance", F.when(long_enough, jensen_shannon(F.col("classes"), F.col("usual_classes"))))
         .withColumn("word_distance", F.when(long_enough, jensen_shannon(F.col("common"), F.col("usual_common"))))
         .withColumn("base_failed", failed)

@@ -6,22 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tutorlake.llm.decontamination import op1_pigeonhole_decontamination
 from tutorlake.llm.packing import op3_vector_best_fit
 from tutorlake.llm.quality import op10_quality_divergence
 from tutorlake.llm.sharding import op2_rendezvous_shards
 from tutorlake.llm.simhash import op6_simhash_golay
 from tutorlake.llm.token_counts import op7_prefix_token_counts
 from tutorlake.llm.toxicity import op4_toxicity_neighbours
+from tutorlake.llm.warc import OP8_SQL, op8_warc_transactions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pigeonhole_decontamination,
         op2_rendezvous_shards,
         op3_vector_best_fit,
         op4_toxicity_neighbours,
         op6_simhash_golay,
         op7_prefix_token_counts,
+        op8_warc_transactions,
         op10_quality_divergence,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_warc_transactions": OP8_SQL}
