@@ -11,6 +11,7 @@ from tutorlake.llm.packing import op3_vector_best_fit
 from tutorlake.llm.quality import op10_quality_divergence
 from tutorlake.llm.sharding import op2_rendezvous_shards
 from tutorlake.llm.simhash import op6_simhash_golay
+from tutorlake.llm.suffix_dedup import op9_suffix_array_dedup
 from tutorlake.llm.token_counts import op7_prefix_token_counts
 from tutorlake.llm.toxicity import op4_toxicity_neighbours
 from tutorlake.llm.warc import OP8_SQL, op8_warc_transactions
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_simhash_golay,
         op7_prefix_token_counts,
         op8_warc_transactions,
+        op9_suffix_array_dedup,
         op10_quality_divergence,
     )
 }
