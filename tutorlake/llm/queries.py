@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tutorlake.llm.decontamination import op1_pigeonhole_decontamination
+from tutorlake.llm.lm_scoring import op5_backoff_automaton
 from tutorlake.llm.packing import op3_vector_best_fit
 from tutorlake.llm.quality import op10_quality_divergence
 from tutorlake.llm.sharding import op2_rendezvous_shards
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_rendezvous_shards,
         op3_vector_best_fit,
         op4_toxicity_neighbours,
+        op5_backoff_automaton,
         op6_simhash_golay,
         op7_prefix_token_counts,
         op8_warc_transactions,

@@ -400,6 +400,29 @@ def removals(documents: DataFrame, key: str = "doc_id", text: str = "text", leng
     return _expand(found, ["text", "starts"], "n_removed long, n_spans long, kept binary", cut)
 
 
+def without_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """All rows and columns, with repeated strings cut out of the texts.
+
+    A character of which a byte is cut goes as a whole. Texts without repeats, null ones too, stay as they are.
+    """
+    kept = removals(documents, key, text, length).select(F.col("id").alias("__id"), F.col("kept").alias("__kept"))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_py().decode("utf-8", "ignore") for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["__id", "__kept"])
+
+    kind = T.StructType([kept.schema["__id"], T.StructField("__kept", T.StringType())])
+    cut = kept.dropDuplicates(["__id"]).mapInArrow(whole, kind)
+    own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
+    return (
+        documents.withColumn("__own", own)
+        .join(cut, F.col("__own") == F.col("__id"), "left")
+        .withColumn(text, F.coalesce("__kept", text))
+        .select(*documents.columns)
+    )
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to strings of 400 bytes that occur elsewhere; null texts count as empty."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
