@@ -6,14 +6,15 @@ import duckdb
 import pytest
 from conftest import rows
 
-import __spark_entry__ as contract
+from checks.oracle import all_oracles
+from checks.registry import all_queries
 from checks.shapes import TABLES
 from tutorlake.sources.logs import LOGS
 from tutorlake.sources.views import VIEWS
 
 # Views and cleaned tables differ by their column lists only; a few of them stand for all here.
 SAMPLED = ["clean_member", "clean_qz_question", "view_payment", "view_wide_major", "view_qz_point"]
-CHECKED = SAMPLED + [name for name in contract.queries() if not name.startswith(("clean_", "view_", "member_count"))]
+CHECKED = SAMPLED + [name for name in all_queries() if not name.startswith(("clean_", "view_", "member_count"))]
 
 
 @pytest.fixture(scope="module")
@@ -25,15 +26,15 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
-    assert {f"clean_{table.removeprefix('dwd_')}" for table in LOGS} <= set(contract.queries())
-    assert {f"view_{name}" for name in VIEWS} <= set(contract.queries())
+    assert set(all_queries()) == set(all_oracles())
+    assert {f"clean_{table.removeprefix('dwd_')}" for table in LOGS} <= set(all_queries())
+    assert {f"view_{name}" for name in VIEWS} <= set(all_queries())
 
 
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    frame = contract.queries()[name](spark, sf_dir)
-    cursor = duck.execute(contract.oracle_sql()[name])
+    frame = all_queries()[name](spark, sf_dir)
+    cursor = duck.execute(all_oracles()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(frame.columns)
     expected = sorted(cursor.fetchall(), key=lambda r: tuple((v is None, str(v)) for v in r))
