@@ -377,7 +377,7 @@ def all_oracles() -> dict[str, str]:
         ),
         quiz_mastery=with_shapes(
             ["quiz_events"],
-            f"""select cast(uid as int) as userid, cast(courseid as int) as courseid, cast(pointid as int) as pointid,
+            f"""select cast(uid as bigint) as userid, cast(courseid as bigint) as courseid, cast(pointid as bigint) as pointid,
                        count(*) as qz_sum, count(distinct questionid) as qz_count,
                        count(*) filter (istrue = '1') as qz_istrue, min(createtime) as createtime,
                        cast(count(*) filter (istrue = '1') as double) / count(*) as correct_rate,
@@ -387,7 +387,7 @@ def all_oracles() -> dict[str, str]:
         ),
         quiz_history=with_shapes(
             ["quiz_events"],
-            """select cast(uid as int) as userid, cast(courseid as int) as courseid, cast(pointid as int) as pointid,
+            """select cast(uid as bigint) as userid, cast(courseid as bigint) as courseid, cast(pointid as bigint) as pointid,
                       0 as part, string_agg(distinct questionid, ',' order by questionid) as questionids
                from quiz_events group by uid, courseid, pointid""",
         ),

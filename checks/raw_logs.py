@@ -1,8 +1,9 @@
 """Raw log lines made from whole tables, and the cleaned rows they must give.
 
 Each table row becomes one good line plus broken ones that cleaning must drop: cut short, wrapped in
-an array, followed by other text, a bare text, and an empty line. In the good lines, whole numbers are
-bare, quoted or missing, and texts are sometimes missing.
+an array, followed by other text, by a second object or by a torn rest, in single quotes, a bare text, and
+an empty line. In the good lines, whole numbers are bare, quoted or missing and some beyond 32 bits, and
+texts are sometimes missing.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ def _parts(table: str, column: str) -> tuple[str, str, str]:
     at = log.columns.index("regsource" if column == "regsourcename" else column)
     kind = log.kind(column)
     if kind == "int":
-        return f"cast({row} % 90 + {at} as string)", f"({row} + {at}) % 7 = 0", f"({row} + {at}) % 5 = 0"
+        number = f"case when {row} % 17 = 0 then 3000000000 + {row} % 90 else {row} % 90 + {at} end"
+        return f"cast({number} as string)", f"({row} + {at}) % 7 = 0", f"({row} + {at}) % 5 = 0"
     if kind == "tenth":
         plain = f"cast(cast({row} % 1000 * 0.25 as decimal(10,2)) as string)"
         return plain, f"({row} + {at}) % 7 = 0", f"({row} + {at}) % 5 = 0"
@@ -91,7 +93,7 @@ def expected_rows(table: str) -> str:
                 f"when {present} is not null then '*****' end"
             )
         elif log.kind(column) == "int":
-            value = f"coalesce(cast({present} as int), 0)"
+            value = f"coalesce(cast({present} as bigint), 0)"
         elif log.kind(column) == "tenth":
             default = log.missing_score or "null"
             value = f"cast(coalesce(cast(cast({present} as decimal(10,2)) as decimal(10,1)), {default}) as double)"

@@ -77,7 +77,7 @@ def raw_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     line = F.col("line")
     broken = [
         F.left(line, F.length(line) - 1), F.concat(F.lit("["), line, F.lit("]")), F.concat(line, F.lit(" tail")),
-        F.lit('"text"'), F.lit(""),
+        F.concat(line, line), F.concat(line, F.lit(" x}")), F.translate(line, '"', "'"), F.lit('"text"'), F.lit(""),
     ]
     return lines.select(F.explode(F.array(line, *broken)).alias("value"))
 

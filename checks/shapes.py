@@ -170,12 +170,12 @@ OTHERS = {
                case when value >= 20 then '1' else '0' end as istrue, cast(ts as string) as createtime
         from {events}""",
     "watch_events": """
-        select cast(user_id as int) as uid, cast(user_id % 7 as int) as cwareid, cast(k % 5 as int) as videoid,
-               cast(k % 10 as int) as chapterid, cast(event_id % 3 as int) as edutypeid,
-               cast(event_id % 4 as int) as subjectid, event_type as sourceType, 1 as speed,
+        select cast(user_id as bigint) as uid, cast(user_id % 7 as bigint) as cwareid, k % 5 as videoid,
+               k % 10 as chapterid, cast(event_id % 3 as bigint) as edutypeid,
+               cast(event_id % 4 as bigint) as subjectid, event_type as sourceType, 1 as speed,
                began as ts, began + cast(floor(value * 1000) as bigint) as te,
                k as ps, k + 1 + cast(floor(value) as int) % 60 as pe
-        from (select *, cast(regexp_extract(props, '[0-9]+', 0) as int) as k,
+        from (select *, cast(regexp_extract(props, '[0-9]+', 0) as bigint) as k,
                      1704067200000 + event_id * 1000 as began from {events}) e""",
     "page_events": """
         select cast(user_id as string) as uid, 'app' as app_id, 'device' as device_id,

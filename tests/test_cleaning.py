@@ -17,6 +17,7 @@ def lines(spark, *texts):
 def test_only_json_objects_survive(spark):
     good = ['{"a": 1}', ' {"a": "x"} ', "{}", '{"a": null}']
     bad = ['{"a": 1', '[{"a": 1}]', "", "  ", "nope", '"text"', "12", "null", '{"a": 1} tail', '{"a": [1, 2}']
+    bad += ['{"a": 1}{"a": 2}', '{"a": 1},{"a": 2}', '{"a": 1} x}', "{'a': 1}", '{"a": 1}] [{"a": 2}', '{"a": 1} {}']
     got = rows(json_objects(lines(spark, *good, *bad), ["a"]))
     assert got == [("1",), ("x",), (None,), (None,)]
 
@@ -62,17 +63,40 @@ def test_every_log_has_a_schema(spark):
         assert clean(lines(spark, "{}"), table).columns == log.columns
 
 
-def test_cleaning_again_gives_the_same_table(spark, tmp_path):
-    logs, root = tmp_path / "logs", str(tmp_path / "warehouse")
+def test_loads_add_up_and_a_rerun_changes_nothing(spark, tmp_path):
+    root, file = str(tmp_path / "warehouse"), LOGS["dwd_pcentermempaymoney"].file
+    first, second = tmp_path / "monday", tmp_path / "tuesday"
+    for folder in (first, second):
+        folder.mkdir()
+    one = '{{"uid": {}, "paymoney": "5.5", "dt": "{}", "dn": "{}"}}\n'.format
+    (first / file).write_text(one(1, "20190722", "007") + "broken\n" + one(3000000000, "20190722", "7"))
+    (second / file).write_text(one(2, "20190722", "007") + one(4, "20190723", "007"))
+    for folder in (first, second, second, first):
+        clean_logs(spark, str(folder), root, ["dwd_pcentermempaymoney"])
+    table = read_table(spark, root, "dwd_pcentermempaymoney")
+    everything = [(1, "20190722", "007"), (2, "20190722", "007"), (3000000000, "20190722", "7"), (4, "20190723", "007")]
+    assert rows(table, "uid", "dt", "dn") == everything
+    (first / file).write_text(one(1, "20190722", "007"))
+    clean_logs(spark, str(first), root, ["dwd_pcentermempaymoney"])
+    assert [r[0] for r in rows(read_table(spark, root, "dwd_pcentermempaymoney"), "uid")] == [1, 2, 4]
+
+
+def test_partition_values_are_text_in_any_session(spark, tmp_path):
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    other.sql("select 1 as uid, '007' as dn").union(other.sql("select 2, '7'")).write.partitionBy("dn").parquet(
+        f"{tmp_path}/members"
+    )
+    assert rows(read_table(other, str(tmp_path), "members"), "uid", "dn") == [(1, "007"), (2, "7")]
+
+
+def test_one_day_reads_one_partition(spark, tmp_path):
+    root, logs = str(tmp_path / "warehouse"), tmp_path / "logs"
     logs.mkdir()
-    file = logs / LOGS["dwd_pcentermempaymoney"].file
-    file.write_text('{"uid": 1, "paymoney": "5.5", "dt": "20190722", "dn": "a"}\nbroken\n')
-    clean_logs(spark, str(logs), root, ["dwd_pcentermempaymoney"])
+    (logs / LOGS["dwd_pcentermempaymoney"].file).write_text(
+        '{"uid": 1, "dt": "20190722", "dn": "a"}\n{"uid": 2, "dt": "20190723", "dn": "a"}\n'
+    )
     clean_logs(spark, str(logs), root, ["dwd_pcentermempaymoney"])
-    file.write_text('{"uid": 2, "paymoney": "1", "dt": "20190723", "dn": "a"}\n')
-    clean_logs(spark, str(logs), root, ["dwd_pcentermempaymoney"])
-    table = read_table(spark, root, "dwd_pcentermempaymoney")
-    assert rows(table, "uid", "paymoney") == [(1, "5.5"), (2, "1")]
     day = read_table(spark, root, "dwd_pcentermempaymoney", "20190722")
     assert rows(day, "uid") == [(1,)]
     assert "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().executedPlan().toString()

@@ -37,8 +37,8 @@ def test_pass_and_fail_share_no_score(spark):
 
 
 def test_whole_numbers_default_to_zero(spark):
-    texts = ["12", " 7 ", "12.9", "", "abc", None, "-3", "99999999999"]
-    assert values(spark, texts, numbers.int_or_zero) == [12, 7, 12, 0, 0, 0, -3, 0]
+    texts = ["12", " 7 ", "12.9", "", "abc", None, "-3", "99999999999", "99999999999.9", "9" * 25]
+    assert values(spark, texts, numbers.int_or_zero) == [12, 7, 12, 0, 0, 0, -3, 99999999999, 99999999999, None]
 
 
 def test_scores_round_half_up(spark):

@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def int_or_zero(text: Column) -> Column:
-    """A whole number from text; missing or unreadable text is 0, fractions are cut off."""
-    whole = text.try_cast("int")
-    cut = text.try_cast("double").try_cast("int")
-    return F.coalesce(whole, cut, F.lit(0))
+    """A whole number of 64 bits from text; fractions are cut off.
+
+    Missing or unreadable text is 0. A number that is too large for 64 bits is null, so it is neither
+    lost from sight nor taken for the id 0.
+    """
+    whole = text.try_cast("bigint")
+    number = text.try_cast("double")
+    cut = F.when(number.isNull(), F.lit(0)).otherwise(text.try_cast("decimal(38,6)").try_cast("bigint"))
+    return F.coalesce(whole, cut.cast("bigint"))
 
 
 def tenth(text: Column, precision: int = 10) -> Column:

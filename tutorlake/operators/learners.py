@@ -20,9 +20,9 @@ def question_totals(answers: DataFrame) -> DataFrame:
     ids per topic, and a topic with very many answers is summed before it is shuffled.
     """
     named = answers.select(
-        F.col("uid").try_cast("int").alias("userid"),
-        F.col("courseid").try_cast("int").alias("courseid"),
-        F.col("pointid").try_cast("int").alias("pointid"),
+        F.col("uid").try_cast("bigint").alias("userid"),
+        F.col("courseid").try_cast("bigint").alias("courseid"),
+        F.col("pointid").try_cast("bigint").alias("pointid"),
         "questionid", "istrue", "createtime",
     )
     return named.groupBy(*TOPIC, "questionid").agg(

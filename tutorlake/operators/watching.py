@@ -52,7 +52,7 @@ def _by_start(events: DataFrame) -> DataFrame:
     to at most one row per second of its length.
     """
     elapsed = F.coalesce(whole_units(F.col("ts"), F.col("te")), F.lit(0).cast("bigint"))
-    end_then_time = F.col("pe").cast("bigint") * F.lit(2**32) + elapsed
+    end_then_time = F.struct("pe", elapsed.alias("elapsed"))
     return events.withColumnRenamed("uid", "userid").groupBy(*VIDEO, "ps").agg(
         F.max("pe").alias("pe"), F.max_by(elapsed, end_then_time).alias("elapsed"), F.sum(elapsed).alias("total")
     )

@@ -28,6 +28,7 @@ def build_session(app: str = "tutorlake", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", BROADCAST_LIMIT)
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def is_json_object(text: Column) -> Column:
-    """True only for lines that hold one JSON object; malformed text, arrays and scalars fail.
-
-    The braces are looked at first, which spares most other lines the parser.
-    """
-    braces = F.startswith(F.ltrim(text), F.lit("{")) & F.endswith(F.rtrim(text), F.lit("}"))
-    return braces & F.json_object_keys(text).isNotNull()
+END_KEY = "__end"
 
 
 def json_objects(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per valid object, one text column per key, null where the key is missing.
+    """One row per line that holds one JSON object and nothing else; one text column per key.
 
-    All values are read as text because the logs write numbers both bare and quoted.
+    A key that is missing is null. All values are read as text because the logs write numbers both bare
+    and quoted. Malformed text, arrays, scalars, names in single quotes and lines with anything after the
+    object, a second object too, are broken lines and dropped. The line is parsed once, as the first of two
+    members of an array: only if the parser comes to the second one was the first one whole.
     """
-    schema = ", ".join(f"`{key}` string" for key in keys)
-    valid = lines.where(is_json_object(F.col("value")))
-    return valid.select(F.from_json("value", schema).alias("object")).select("object.*")
+    members = ", ".join(f"`{key}`: string" for key in [*keys, END_KEY])
+    line = F.trim("value", F.lit(" \t\r\n"))
+    framed = F.concat(F.lit("["), line, F.lit(f',{{"{END_KEY}":"1"}}]'))
+    parsed = F.from_json(framed, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
+    objects = lines.where(F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}"))).select(parsed.alias("parsed"))
+    first, last = F.get("parsed", F.lit(0)), F.get("parsed", F.lit(1))
+    whole = (F.size("parsed") == 2) & first.isNotNull() & (last[END_KEY] == "1") & first[END_KEY].isNull()
+    return objects.where(whole).select(*[first[key].alias(key) for key in keys])
 
 
 def tab_fields(lines: DataFrame, names: list[str]) -> DataFrame:

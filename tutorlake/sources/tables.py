@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tutorlake.session import fresh_dir
 
 
+# The columns that name folders of a table. They are texts, so sites 007 and 7 stay apart.
+PARTITION_COLUMNS = ("load", "dt", "dn")
+
+
 def read_table(spark: SparkSession, root: str, table: str, day: str | None = None) -> DataFrame:
-    """A table, or one day of it. The day is a partition, so other days are not read."""
-    rows = spark.read.parquet(f"{root}/{table}")
+    """A table with all its loads, or one day of it. The day is a partition, so other days are not read.
+
+    Partition values are read as text whatever the session's settings are.
+    """
+    path = f"{root}/{table}"
+    fields = [
+        T.StructField(f.name, T.StringType()) if f.name in PARTITION_COLUMNS else f
+        for f in spark.read.parquet(path).schema.fields
+    ]
+    rows = spark.read.schema(T.StructType(fields)).parquet(path).drop("load")
     return rows if day is None else on_day(rows, day)
 
 
@@ -19,16 +32,16 @@ def on_day(rows: DataFrame, day: str | None) -> DataFrame:
     return rows if day is None else rows.where(F.col("dt") == F.lit(day))
 
 
-def write_table(rows: DataFrame, root: str, table: str, partitions: list[str], rebalance: bool = True) -> None:
+def write_table(rows: DataFrame, root: str, table: str, partitions: list[str]) -> None:
     """Replace exactly the partitions present in ``rows``, so a rerun gives the same table.
 
-    Rebalancing groups rows by partition and lets AQE choose file sizes; a day or site with a third of
-    all rows is split over many tasks. Without it every task writes its own files and nothing is
-    shuffled, which suits large inputs with few partitions, such as a day's log.
+    For tables worked out from others; loads of raw rows add up, see :func:`write_load`. Rebalancing groups
+    rows by partition and lets AQE choose file sizes; a day or site with a third of all rows is split over
+    many tasks.
     """
-    placed = rows.hint("rebalance", *partitions) if rebalance else rows
     (
-        placed.write.mode("overwrite")
+        rows.hint("rebalance", *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(f"{root}/{table}")
@@ -44,6 +57,22 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
 
 
+def write_load(rows: DataFrame, root: str, table: str, load: str, partitions: list[str]) -> None:
+    """Replace one load of a table, whole, and leave all other loads as they are.
+
+    Days and sites of several loads add up, a late row of an earlier day included, and loading the same log
+    again changes nothing. Every task writes its own files and nothing is shuffled.
+    """
+    if not load or "/" in load:
+        raise ValueError("a load needs a name that can be a folder")
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions)
+        .parquet(f"{root}/{table}/load={load}")
+    )
+
+
 def write_version(rows: DataFrame, root: str, table: str, version: int) -> None:
     """A whole new version of a table that is read while it is being replaced.
 

@@ -22,9 +22,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tutorlake.functions.numbers import whole_units
 from tutorlake.operators.watching import VIDEO
 
-STATE_SCHEMA = "starts array<int>, ends array<int>, totaltime bigint, effecttime bigint"
+STATE_SCHEMA = "starts array<bigint>, ends array<bigint>, totaltime bigint, effecttime bigint"
 OUTPUT_SCHEMA = (
-    "userid int, cwareid int, videoid int, totaltime bigint, effecttime bigint, completetime bigint, "
+    "userid bigint, cwareid bigint, videoid bigint, totaltime bigint, effecttime bigint, completetime bigint, "
     "play_interval string"
 )
 CHUNK = 10_000
