@@ -149,6 +149,10 @@ BAND = """case when score >= 0 and score <= 20 then '0-20' when score > 20 and s
           when score > 80 and score <= 100 then '80-100' end"""
 
 
+def part_of(value: str, parts: int) -> str:
+    return f"cast(cast('0x' || substr(md5(cast({value} as string)), 1, 8) as bigint) % {parts} as int)"
+
+
 def answers_sql(body: str) -> str:
     return with_shapes(["answers"], body)
 
@@ -227,7 +231,7 @@ def all_oracles() -> dict[str, str]:
         "vip_level, cast(paymoney as double) as paymoney, dt, dn from dws_member"
     )
     wide_views = {}
-    for name in ("wide_chapter", "wide_course", "wide_major", "wide_paper", "wide_question"):
+    for name in ("wide_chapter", "wide_chapter_question", "wide_course", "wide_major", "wide_paper", "wide_question"):
         spec = VIEWS[name]
         dropped = f" exclude ({', '.join(spec.drop)})"
         renamed = f" rename ({', '.join(f'{old} as {new}' for old, new in spec.rename.items())})"
@@ -244,6 +248,26 @@ def all_oracles() -> dict[str, str]:
         answer_more.update(more)
     answer_more.update(wide_views)
     found["quiz_answer_wide"] = with_shapes(
+        answer_shapes,
+        """select a.userid, a.questionid, a.useranswer, cast(a.score as double) as score, a.spendtime,
+                  a.question_answer as user_question_answer, a.sitecourseid, c.siteid, c.courseid, c.coursename,
+                  c.sitecourse_creator as course_creator, c.edusubjectid, a.chapterid, h.chaptername, h.chapterlistname,
+                  t.pointid, t.pointname, cast(t.point_score as double) as point_score, a.majorid, m.majorname,
+                  m.businessname, m.sitename, a.paperviewid, p.paperviewname, p.centerid, p.centername, p.papername,
+                  cast(p.totalscore as double) as totalscore, q.questypeid, q.question_content, q.question_answer,
+                  q.question_description, a.dt, a.dn
+           from dwd_qz_member_paper_question a
+           join wide_course c on a.sitecourseid = c.sitecourseid and a.dn = c.dn
+           join (select distinct chapterid, dn, chaptername, chapterlistname from wide_chapter) h
+             on a.chapterid = h.chapterid and a.dn = h.dn
+           left join (select chapterid, dn, questionid, pointid, pointname, point_score from dws_qz_chapter) t
+             on a.chapterid = t.chapterid and a.dn = t.dn and a.questionid = t.questionid
+           join wide_major m on a.majorid = m.majorid and a.dn = m.dn
+           join wide_paper p on a.paperviewid = p.paperviewid and a.dn = p.dn
+           join wide_question q on a.questionid = q.questionid and a.dn = q.dn""",
+        **answer_more,
+    )
+    found["quiz_answer_wide_repeated"] = with_shapes(
         answer_shapes,
         """select a.userid, a.questionid, a.useranswer, cast(a.score as double) as score, a.spendtime,
                   a.question_answer as user_question_answer, a.sitecourseid, c.siteid, c.courseid, c.coursename,
@@ -337,13 +361,18 @@ def all_oracles() -> dict[str, str]:
                       cast(min(score) as double) as minscore
                from answers group by paperviewid, paperviewname, dt, dn"""
         ),
-        paper_top3=ranked("desc"),
-        paper_low3=ranked("asc"),
+        paper_top3=ranked("desc nulls last"),
+        paper_low3=ranked("asc nulls first"),
         paper_segments=answers_sql(
-            f"""select paperviewid, paperviewname, score_segment, 0 as part,
+            f"""select paperviewid, paperviewname, score_segment, {part_of('userid', 4)} as part,
                        string_agg(cast(userid as string), ',' order by cast(userid as string)) as userids, dt, dn
                 from (select *, {BAND} as score_segment from answers) t
-                group by paperviewid, paperviewname, score_segment, dt, dn"""
+                group by paperviewid, paperviewname, score_segment, dt, dn, {part_of('userid', 4)}"""
+        ),
+        paper_segment_users=answers_sql(
+            f"""select paperviewid, paperviewname, score_segment, dt, dn, userid, count(*) as copies
+                from (select *, {BAND} as score_segment from answers) t
+                group by paperviewid, paperviewname, score_segment, dt, dn, userid"""
         ),
         paper_pass_rate=answers_sql(
             """select a.paperviewid, a.paperviewname, a.dt, a.dn, passcount, unpasscount,
@@ -387,9 +416,10 @@ def all_oracles() -> dict[str, str]:
         ),
         quiz_history=with_shapes(
             ["quiz_events"],
-            """select cast(uid as bigint) as userid, cast(courseid as bigint) as courseid, cast(pointid as bigint) as pointid,
-                      0 as part, string_agg(distinct questionid, ',' order by questionid) as questionids
-               from quiz_events group by uid, courseid, pointid""",
+            f"""select cast(uid as bigint) as userid, cast(courseid as bigint) as courseid, cast(pointid as bigint) as pointid,
+                      {part_of('questionid', 3)} as part,
+                      string_agg(distinct questionid, ',' order by questionid) as questionids
+               from quiz_events group by uid, courseid, pointid, {part_of('questionid', 3)}""",
         ),
         learn_by_dim=with_shapes(["watch_events"], LEARN),
         video_coverage=with_shapes(["watch_events"], COVERAGE),

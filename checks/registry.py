@@ -148,13 +148,13 @@ ANSWER_WIDE_COLUMNS = [
 ]
 
 
-def answer_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def answer_wide(spark: SparkSession, sf_dir: str, repeat: bool = False) -> DataFrame:
     def part(name: str) -> DataFrame:
         return view(wide(spark, sf_dir, VIEWS[name].table), name)
 
     rows = quiz_wide.answer_wide(
-        part("qz_answer"), part("wide_course"), part("wide_chapter"), part("wide_major"), part("wide_paper"),
-        part("wide_question"),
+        part("qz_answer"), part("wide_course"), part("wide_chapter_question"), part("wide_major"),
+        part("wide_paper"), part("wide_question"), repeat_chapters=repeat,
     )
     return plain(rows.select(*ANSWER_WIDE_COLUMNS))
 
@@ -298,7 +298,7 @@ def quiz_mastery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quiz_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = learners.question_totals(streams.quiz_answers(tab_lines(shape(spark, sf_dir, "quiz_events"))))
-    return learners.question_ids(totals)
+    return learners.question_ids(totals, parts=3)
 
 
 def learn_by_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,11 +407,13 @@ def all_queries() -> dict[str, Query]:
         quiz_paper_wide=wide_query("dws_qz_paper"),
         quiz_question_wide=wide_query("dws_qz_question"),
         quiz_answer_wide=answer_wide,
+        quiz_answer_wide_repeated=lambda spark, sf_dir: answer_wide(spark, sf_dir, repeat=True),
         paper_avg=paper_query(paper_reports.paper_averages, ordered=True),
         paper_minmax=paper_query(paper_reports.paper_extremes),
         paper_top3=paper_query(paper_reports.best_answers),
         paper_low3=paper_query(paper_reports.worst_answers),
-        paper_segments=paper_query(paper_reports.band_users, ordered=True),
+        paper_segments=paper_query(paper_reports.band_users, ordered=True, parts=4),
+        paper_segment_users=paper_query(paper_reports.band_user_counts),
         paper_pass_rate=paper_query(paper_reports.pass_rates),
         question_error_rate=paper_query(paper_reports.error_rates, ordered=True),
         register_total=register_total,

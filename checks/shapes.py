@@ -155,8 +155,8 @@ OTHERS = {
     "answers": """
         select cast(o_custkey as int) as userid, cast(l_orderkey % 3000 as int) as paperviewid,
                'paper' || cast(l_orderkey % 3000 as string) as paperviewname, cast(l_partkey as int) as questionid,
-               cast(l_quantity * 2.1 as decimal(4,1)) as score, l_linenumber * 60 as spendtime,
-               case l_linestatus when 'O' then '1' else '0' end as user_question_answer,
+               case when l_orderkey % 89 <> 0 then cast(l_quantity * 2.1 as decimal(4,1)) end as score,
+               l_linenumber * 60 as spendtime, case l_linestatus when 'O' then '1' else '0' end as user_question_answer,
                'chapter' || cast(l_suppkey as string) as chaptername, 'point' || l_returnflag as pointname,
                'site' || cast(l_suppkey % 7 as string) as sitecoursename,
                'course' || cast(l_suppkey % 11 as string) as coursename,

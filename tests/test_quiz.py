@@ -62,14 +62,22 @@ def test_band_users_keep_repeats_and_the_empty_band(answers):
 
 def test_long_lists_are_split_without_loss(spark):
     counted = spark.createDataFrame(
-        [("hot", n, 1) for n in range(5000)] + [("hot", 9999, 7000), ("cold", 1, 2)], "g string, v int, copies bigint"
+        [("hot", n, 1) for n in range(5000)] + [("hot", 9999, 70), ("cold", 1, 2)], "g string, v int, copies bigint"
     )
-    lists = text_lists(counted, ["g"], "v", "ids", per_row=1000).collect()
+    lists = text_lists(counted, ["g"], "v", "ids", parts=10).collect()
     hot = [r for r in lists if r.g == "hot"]
     ids = [i for r in hot for i in r.ids.split(",")]
-    assert len(ids) == 12000 and ids.count("9999") == 7000 and len(set(ids)) == 5001
-    assert len(hot) == 12 and max(len(r.ids.split(",")) for r in hot) < 1300
-    assert [(r.part, r.ids) for r in lists if r.g == "cold"] == [(0, "1,1")]
+    assert len(ids) == 5070 and ids.count("9999") == 70 and len(set(ids)) == 5001
+    assert len(hot) == 10 and max(len(r.ids.split(",")) for r in hot) < 700
+    assert [r.ids for r in lists if r.g == "cold"] == ["1,1"]
+
+
+def test_missing_scores_rank_lowest(spark):
+    names = [c for c in RANKED_COLUMNS if c != "rk"]
+    data = [{**dict.fromkeys(names, "x"), "userid": n, "paperviewid": 1, "score": s} for n, s in enumerate([None, 1, 2, 2, 3])]
+    frame = spark.createDataFrame(data, ", ".join(f"{c} {'int' if c in ('userid', 'paperviewid', 'score') else 'string'}" for c in names))
+    assert rows(paper_reports.worst_answers(frame), "userid", "rk") == [(0, 1), (1, 2), (2, 3), (3, 3)]
+    assert rows(paper_reports.best_answers(frame, places=4), "userid", "rk") == [(0, 4), (1, 3), (2, 2), (3, 2), (4, 1)]
 
 
 def test_pass_rates(answers):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutorlake.functions.coding import platform
-from tutorlake.operators.lists import IDS_PER_ROW, text_lists
+from tutorlake.operators.lists import text_lists
 
 TOPIC = ["userid", "courseid", "pointid"]
 # Fixed value: a topic is assumed to have this many questions.
@@ -45,10 +45,13 @@ def mastery(totals: DataFrame) -> DataFrame:
     return rolled.withColumn("correct_rate", correct).withColumn("mastery_rate", done * correct)
 
 
-def question_ids(totals: DataFrame, per_row: int = IDS_PER_ROW) -> DataFrame:
-    """The answered question ids of each learner and topic, as sorted comma-separated text."""
+def question_ids(totals: DataFrame, parts: int = 1) -> DataFrame:
+    """The answered question ids of each learner and topic, as sorted comma-separated text in ``parts`` parts.
+
+    ``totals`` itself is the form to store, one row per question.
+    """
     single = totals.select(*TOPIC, "questionid", F.lit(1).cast("bigint").alias("copies"))
-    return text_lists(single, TOPIC, "questionid", "questionids", per_row)
+    return text_lists(single, TOPIC, "questionid", "questionids", parts)
 
 
 def with_platform(registrations: DataFrame) -> DataFrame:

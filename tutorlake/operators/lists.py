@@ -1,38 +1,24 @@
-"""Lists of ids as text, without collecting an unbounded group."""
+"""Lists of ids as text, in a number of parts that the caller chooses."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-IDS_PER_ROW = 1_000_000
-PIECES_PER_ROW = 1000
 
+def part_of(value: Column, parts: int) -> Column:
+    """The part, 0 to ``parts - 1``, of a value, from the MD5 of its text; null is in part 0."""
+    digest = F.conv(F.substring(F.md5(value.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(F.pmod(digest, F.lit(parts)), F.lit(0)).cast("int")
 
-def text_lists(
-    counted: DataFrame, group: list[str], value: str, alias: str, per_row: int = IDS_PER_ROW
-) -> DataFrame:
+
+def text_lists(counted: DataFrame, group: list[str], value: str, alias: str, parts: int) -> DataFrame:
     """Comma-separated values of each group, each repeated ``copies`` times, sorted as text.
 
-    A list of up to ``per_row`` values is one row with ``part`` 0. A longer one is spread over several
-    rows, so nothing is left out and no row or task holds an unbounded list: the number of parts
-    comes from the group's total, and the copies of a value are cut into pieces that go to different
-    parts. The join with the totals is split by AQE when one group is hot.
+    Every group has up to ``parts`` rows, whatever its size, one for each part that has values; choose
+    them so that a part of the largest group fits a row. Null values are not listed.
     """
-    piece_size = F.lit(max(1, per_row // PIECES_PER_ROW)).cast("bigint")
-    totals = counted.groupBy(*group).agg(F.sum("copies").alias("total"))
-    parts = totals.select(
-        *[F.col(column).alias(f"of_{column}") for column in group],
-        F.ceil(F.col("total") / F.lit(per_row)).alias("parts"),
-    )
-    sized = counted.join(parts, [F.col(column).eqNullSafe(F.col(f"of_{column}")) for column in group])
-    last_piece = F.call_function("div", F.col("copies") - 1, piece_size)
-    pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
-    length = F.least(piece_size, F.col("copies") - F.col("piece") * piece_size).cast("int")
-    placed = pieces.select(
-        *group,
-        F.pmod(F.xxhash64(value) + F.col("piece"), F.col("parts")).cast("int").alias("part"),
-        F.array_repeat(F.col(value).cast("string"), length).alias("values"),
-    )
-    text = F.concat_ws(",", F.sort_array(F.flatten(F.collect_list("values"))))
+    placed = counted.withColumn("part", part_of(F.col(value), parts))
+    repeated = F.array_repeat(F.col(value).cast("string"), F.col("copies").cast("int"))
+    text = F.concat_ws(",", F.sort_array(F.flatten(F.collect_list(repeated))))
     return placed.groupBy(*group, "part").agg(text.alias(alias))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tutorlake.functions.coding import failed, passed, score_band
 from tutorlake.functions.numbers import share
-from tutorlake.operators.lists import IDS_PER_ROW, text_lists
+from tutorlake.operators.lists import text_lists
 from tutorlake.sources.tables import on_day
 
 PAPER_KEY = ["paperviewid", "paperviewname", "dt", "dn"]
@@ -40,17 +40,21 @@ def paper_extremes(answers: DataFrame, day: str | None = None) -> DataFrame:
 def _ranked(answers: DataFrame, places: int, best: bool) -> DataFrame:
     """Answers whose score is among the first ``places`` distinct scores of their paper.
 
+    A missing score is the lowest of all: it comes first among the worst and last among the best.
+
     Ranking is done on the distinct scores, which a partial aggregation makes few, and the chosen
     scores are joined back. Equal scores can be any number of rows (a third of the table, say), and
     this way they never meet in one task. The chosen scores are at most ``places`` rows per paper, so
     the join is a broadcast below the size threshold and a skew-split shuffle join beyond it.
     """
-    order = F.desc_nulls_last("score") if best else F.asc_nulls_last("score")
+    order = F.desc_nulls_last("score") if best else F.asc_nulls_first("score")
     ranking = Window.partitionBy("paperviewid", "dt").orderBy(order)
-    scored = answers.where(F.col("score").isNotNull())
-    scores = scored.select("paperviewid", "dt", "score").distinct()
+    scores = answers.select("paperviewid", "dt", "score").distinct()
     chosen = scores.withColumn("rk", F.row_number().over(ranking)).where(F.col("rk") <= places)
-    return scored.join(chosen, ["paperviewid", "dt", "score"]).select(*RANKED_COLUMNS)
+    key = ["paperviewid", "dt", "score"]
+    named = chosen.select(*[F.col(c).alias(f"of_{c}") for c in key], "rk")
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in key]
+    return answers.join(named, same).select(*RANKED_COLUMNS)
 
 
 def best_answers(answers: DataFrame, day: str | None = None, places: int = 3) -> DataFrame:
@@ -63,17 +67,18 @@ def worst_answers(answers: DataFrame, day: str | None = None, places: int = 3) -
     return _ranked(on_day(answers, day), places, best=False)
 
 
-def band_users(
-    answers: DataFrame, day: str | None = None, per_row: int = IDS_PER_ROW, ordered: bool = False
-) -> DataFrame:
-    """User ids per paper and score band as comma-separated text, one id per answer.
+BAND_KEY = ["paperviewid", "paperviewname", "score_segment", "dt", "dn"]
 
-    Answers are counted per user before the lists are made; see :func:`text_lists` for long lists.
-    """
-    group = ["paperviewid", "paperviewname", "score_segment", "dt", "dn"]
+
+def band_user_counts(answers: DataFrame, day: str | None = None) -> DataFrame:
+    """Answers per paper, score band and user, in ``copies``: the form to store, whatever a band's size."""
     banded = on_day(answers, day).withColumn("score_segment", score_band(F.col("score")))
-    per_user = banded.groupBy(*group, "userid").agg(F.count(F.lit(1)).alias("copies"))
-    lists = text_lists(per_user, group, "userid", "userids", per_row)
+    return banded.groupBy(*BAND_KEY, "userid").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def band_users(answers: DataFrame, day: str | None = None, parts: int = 1, ordered: bool = False) -> DataFrame:
+    """User ids per paper and score band as comma-separated text, one id per answer, in ``parts`` parts."""
+    lists = text_lists(band_user_counts(answers, day), BAND_KEY, "userid", "userids", parts)
     return lists.orderBy("paperviewid", "score_segment", "part") if ordered else lists
 
 

@@ -8,6 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Columns of the chapter table that belong to a point and its question.
+POINT_COLUMNS = (
+    "pointid pointname pointyear chapter excisenum pointlistid pointdescribe pointlevel typelist point_score "
+    "thought remid pointnamelist typelistids pointlist questype"
+).split()
+
 
 def chapter_wide(
     chapter: DataFrame, chapter_list: DataFrame, point: DataFrame, point_question: DataFrame
@@ -50,21 +56,29 @@ def answer_wide(
     wide_major: DataFrame,
     wide_paper: DataFrame,
     wide_question: DataFrame,
+    repeat_chapters: bool = False,
 ) -> DataFrame:
     """Answers with course, chapter, major, paper and question, from the views of the wide tables.
 
-    The chapter table has one row per point and question, so an answer appears once for each of them.
-    Reports that count answers take any detail table and can be given one without that repetition.
+    The chapter table has one row per point and question; ``wide_chapter`` is its view with the question.
+    An answer takes its chapter and the points that have its own question; without one the point's columns
+    are null. With ``repeat_chapters`` it appears once for every point and question of its chapter instead,
+    as many times as the chapter has questions.
     """
+    listed = wide_chapter.drop("chapter_sequence", "chapter_status", "chapter_courseid")
     course = wide_course.drop("majorid", "chapterlistid", "pointlistid").withColumnsRenamed(
         {"sitecourse_creator": "course_creator", "sitecourse_createtime": "course_createtime"}
     )
-    return (
+    joined = (
         answer.withColumnRenamed("question_answer", "user_question_answer")
         .drop("paperid")
         .join(course, ["sitecourseid", "dn"])
         .join(wide_major, ["majorid", "dn"])
         .join(wide_paper.drop("courseid"), ["paperviewid", "dn"])
         .join(wide_question.drop("question_score"), ["questionid", "dn"])
-        .join(wide_chapter.drop("chapter_sequence", "chapter_status", "chapter_courseid"), ["chapterid", "dn"])
     )
+    if repeat_chapters:
+        return joined.join(listed.drop("questionid"), ["chapterid", "dn"])
+    points = listed.select("chapterid", "questionid", "dn", *POINT_COLUMNS)
+    chapters = listed.drop("questionid", *POINT_COLUMNS).distinct()
+    return joined.join(chapters, ["chapterid", "dn"]).join(points, ["chapterid", "questionid", "dn"], "left")

@@ -36,7 +36,7 @@ def build_quiz(spark: SparkSession, root: str, day: str) -> None:
     write_table(questions, root, "dws_qz_question", PARTITIONS)
 
     answers = quiz_wide.answer_wide(
-        part("qz_answer"), part("wide_course"), part("wide_chapter"), part("wide_major"), part("wide_paper"),
+        part("qz_answer"), part("wide_course"), part("wide_chapter_question"), part("wide_major"), part("wide_paper"),
         part("wide_question"),
     )
     write_table(answers, root, DETAIL, PARTITIONS)

@@ -87,6 +87,11 @@ VIEWS = {
         drop="showstatus chapter_creator chapter_createtime questionid dt",
         **_prefixed("chapter", "sequence", "status"),
     ),
+    "wide_chapter_question": _view(
+        "dws_qz_chapter",
+        drop="showstatus chapter_creator chapter_createtime dt",
+        **_prefixed("chapter", "sequence", "status"),
+    ),
     "wide_course": _view("dws_qz_course", drop="dt", **_prefixed("course", "sequence", "status")),
     "wide_major": _view("dws_qz_major", drop="siteid dt", **_prefixed("major", "sequence", "status")),
     "wide_paper": _view(
