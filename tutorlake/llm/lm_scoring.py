@@ -33,8 +33,8 @@ from tutorlake.sources.tables import settle
 
 FOLDS = 10
 ADD = 0.1
-CHUNK_BYTES = 12_000_000
-RANGE_BYTES = 48_000_000
+CHUNK_BYTES = 6_000_000
+RANGE_BYTES = 12_000_000
 CLASSES = 64
 # Hashes of the end and the start of a text; words have any other.
 END, START = np.uint64(1), np.uint64(2)
@@ -56,6 +56,25 @@ def pair_hashes(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(29)
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first, which leaves long runs of zeros to the compression."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as their differences."""
+    return pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.uint64), dtype=np.uint64)
+
+
 def count_class(counts: np.ndarray) -> np.ndarray:
     """The class of a context: half octaves of its count in training."""
     return np.minimum(CLASSES - 1, np.round(2 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
@@ -71,15 +90,16 @@ class Chunk:
         if len(stream):
             before[np.concatenate([[0], self.ends[:-1]])] = START
         self.before = before
-        self.pairs, self.pair = np.unique(pair_hashes(before, words[stream]), return_inverse=True)
+        self.pairs, pair = np.unique(pair_hashes(before, words[stream]), return_inverse=True)
+        self.pair = pair.astype(np.uint32)
         self.trained = np.repeat(~held_out, lengths)
 
     @classmethod
     def load(cls, row: dict) -> Chunk:
-        unpack = lambda name, kind: np.frombuffer(zlib.decompress(row[name]), kind)
+        opened = lambda name, kind: np.frombuffer(zlib.decompress(row[name]), kind)
         return cls(
-            np.frombuffer(row["words"], np.uint64), unpack("stream", np.uint32),
-            unpack("lengths", np.int64), np.frombuffer(row["held"], bool),
+            np.frombuffer(row["words"], np.uint64), opened("stream", np.uint32),
+            opened("lengths", np.int64), np.frombuffer(row["held"], bool),
         )
 
     def pair_counts(self) -> np.ndarray:
@@ -102,15 +122,15 @@ class Automaton:
     """
 
     def __init__(self, root: np.ndarray, back: np.ndarray, start_back: float, arc: np.ndarray) -> None:
-        self.root, self.back, self.start_back, self.arc = root.tolist(), back.tolist(), start_back, arc.tolist()
+        self.root, self.back, self.start_back, self.arc = root, back, start_back, arc
 
-    def score(self, words: list[int], arcs: list[int]) -> float:
+    def score(self, words: np.ndarray, arcs: np.ndarray) -> float:
+        """The log-probability of a text: one traversal, carrying the failure weight of the state it is in."""
         total, failure = 0.0, self.start_back
-        root, back, arc = self.root, self.back, self.arc
-        for word, way in zip(words, arcs, strict=True):
-            weight = arc[way]
-            total += weight if weight == weight else failure + root[word]
-            failure = back[word]
+        ways = zip(self.arc[arcs].tolist(), self.root[words].tolist(), self.back[words].tolist(), strict=True)
+        for weight, from_root, after in ways:
+            total += weight if weight == weight else failure + from_root
+            failure = after
         return total
 
 
@@ -187,7 +207,8 @@ def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
 def _asked(chunk: int, ranges: int, hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> pa.Table:
     cuts = _ranges(hashes, ranges)
     used = [k for k in range(ranges) if cuts[k] < cuts[k + 1]]
-    parts = [[x[cuts[k] : cuts[k + 1]].tobytes() for k in used] for x in (hashes, counts, classes)]
+    ways = ((pack_sorted, hashes), (pack, counts), (pack, classes))
+    parts = [[way(x[cuts[k] : cuts[k + 1]]) for k in used] for way, x in ways]
     return pa.table(
         [pa.array([chunk] * len(used), pa.int64()), pa.array(used, pa.int64()), *(pa.array(p, pa.binary()) for p in parts)],
         names=["chunk", "part", "hashes", "counts", "classes"],
@@ -201,9 +222,9 @@ ANSWERED = "chunk long, part long, totals binary, seen long, once binary, mass b
 def _answer(table: pa.Table) -> pa.Table:
     """Totals of one range for every chunk that asked, and one row, of chunk -1, with the range's statistics."""
     table = table.combine_chunks()
-    lists = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()])
-    classes = np.concatenate([np.frombuffer(x, np.uint8) for x in table["classes"].to_pylist()])
+    lists = [unpack_sorted(x.as_py()) for x in table["hashes"]]
+    counts = np.concatenate([unpack(x.as_py(), np.uint32) for x in table["counts"]])
+    classes = np.concatenate([unpack(x.as_py(), np.uint8) for x in table["classes"]])
     distinct, first, which = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
     totals = np.bincount(which, counts, len(distinct)).astype(np.int64)
     kind = classes[first]
@@ -211,7 +232,7 @@ def _answer(table: pa.Table) -> pa.Table:
     mass = np.bincount(kind, totals, CLASSES).astype(np.int64)
     own = totals[which]
     ends = np.cumsum([len(x) for x in lists])
-    answers = [own[e - len(x) : e].tobytes() for x, e in zip(lists, ends, strict=True)]
+    answers = [pack(own[e - len(x) : e]) for x, e in zip(lists, ends, strict=True)]
     rows = table.num_rows
     none = [None] * rows
     return pa.table(
@@ -230,7 +251,7 @@ def _answer(table: pa.Table) -> pa.Table:
 def _totals(answers: pa.Table) -> np.ndarray:
     """A chunk's totals in the order of its hashes."""
     rows = sorted(zip(answers["part"].to_pylist(), answers["totals"].to_pylist(), strict=True))
-    return np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for _, x in rows)])
+    return np.concatenate([np.zeros(0, np.int64), *(unpack(x, np.int64) for _, x in rows)])
 
 
 def _statistics(answers: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
@@ -336,7 +357,6 @@ def scores(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                 arc = np.where(of_pairs > 0, np.log10(seen), np.nan)
             start = float(np.log10(unseen[count_class(np.array([texts]))])[0]) if texts else 0.0
             model = Automaton(root, back, start, arc)
-            stream, ways = chunk.stream.tolist(), chunk.pair.tolist()
             begins = (chunk.ends - chunk.lengths).tolist()
             bounds = list(zip(begins, chunk.ends.tolist(), strict=True))
             marks = np.array(begins, np.int64)
@@ -349,7 +369,7 @@ def scores(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                         pa.array(np.add.reduceat(known[chunk.stream].astype(np.int64), marks)),
                         pa.array(np.full(len(marks), train_tokens)),
                         pa.array(np.add.reduceat(root[chunk.stream], marks)),
-                        pa.array([model.score(stream[a:b], ways[a:b]) for a, b in bounds], pa.float64()),
+                        pa.array([model.score(chunk.stream[a:b], chunk.pair[a:b]) for a, b in bounds], pa.float64()),
                     ],
                     names=[f.name for f in result],
                 )
