@@ -401,7 +401,8 @@ def all_oracles() -> dict[str, str]:
             f"""select strftime(opened - to_hours(6 * back), '%Y-%m-%d %H:%M:%S') as window_start, app_name,
                        count(*) as num
                 from (select time_bucket(interval '6 hours', cast(createtime as timestamp), timestamp '2000-01-01')
-                             as opened, {PLATFORM} as app_name, unnest(range(4)) as back from {REGISTERED}) r
+                             as opened, {PLATFORM} as app_name, unnest(range(4)) as back from {REGISTERED}
+                      union all select null, {PLATFORM}, 0 from {REGISTERED}) r
                 group by 1, 2""",
         ),
         quiz_mastery=with_shapes(

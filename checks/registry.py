@@ -280,7 +280,7 @@ def register_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def register_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     def job(lines, root, checkpoint):
         return jobs.count_registrations_in_window(
-            lines, root, checkpoint, length="1 day", slide="6 hours", lateness="1 day"
+            lines, root, checkpoint, time=learners.event_time(), length="1 day", slide="6 hours"
         )
 
     def result(s, root):
@@ -289,7 +289,11 @@ def register_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
         utc = F.expr("timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, unix_seconds(window_start))")
         return rows.select(time_text(utc).alias("window_start"), "app_name", "num")
 
-    return run_job(spark, sf_dir, "register_sliding", "register_events", tab_lines, job, result)
+    def with_unreadable(rows: DataFrame) -> DataFrame:
+        times = F.array(F.col("createtime"), F.concat(F.lit("at "), "createtime"))
+        return tab_lines(rows.withColumn("createtime", F.explode(times)))
+
+    return run_job(spark, sf_dir, "register_sliding", "register_events", with_unreadable, job, result)
 
 
 def quiz_mastery(spark: SparkSession, sf_dir: str) -> DataFrame:

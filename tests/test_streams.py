@@ -65,11 +65,35 @@ def test_registrations_over_restarts(spark, feed):
 
 def test_sliding_windows(spark, feed):
     feed.add(["1\t1\t2024-01-01 00:00:01", "2\t1\t2024-01-01 00:00:08"])
-    feed.add(["3\t1\t2024-01-01 00:00:09"])
-    feed.run(jobs.count_registrations_in_window, length="12 seconds", slide="6 seconds", lateness="1 minute")
-    counts = sinks.current(spark, feed.root, "register_window", jobs.WINDOW_KEY)
+    feed.add(["3\t1\t2024-01-01 00:00:09", "9\t1\t2024-06-01 12:00:00"])
+    feed.add(["4\t1\t2024-01-01 00:00:02", "5\t1\tnever", "6\t1\tnever"])
+    feed.run(jobs.count_registrations_in_window, time=learners.event_time(), length="12 seconds", slide="6 seconds")
+    counts = sinks.current(spark, feed.root, "register_window", jobs.WINDOW_KEY).where("month(window_start) <> 6 or window_start is null")
     got = rows(counts, F.date_format("window_start", "HH:mm:ss"), "num")
-    assert got == [("00:00:00", 3), ("00:00:06", 2), ("23:59:54", 1)]
+    assert got == [("00:00:00", 4), ("00:00:06", 2), ("23:59:54", 2), (None, 2)]
+
+
+def test_registrations_count_when_they_arrive(spark, feed):
+    feed.add(["1\t1\t2024-01-01 00:00:01", "2\t1\tnever"])
+    feed.add(["3\t1\t1999-01-01 00:00:09"])
+    feed.run(jobs.count_registrations_in_window, length="6 seconds", slide="6 seconds")
+    counts = sinks.current(spark, feed.root, "register_window", jobs.WINDOW_KEY)
+    assert counts.agg(F.sum("num")).first()[0] == 3 and counts.where("year(window_start) < 2025").count() == 0
+
+
+def test_tables_stay_small(spark, tmp_path):
+    root, write = str(tmp_path), sinks.upsert_table(str(tmp_path), "t", ["k"], fold_every=4)
+    replace = sinks.replace_table(root, "whole")
+    for n in range(50):
+        batch = spark.createDataFrame([(n % 3, n)], "k int, v int")
+        write(batch, n)
+        if n < 9:
+            replace(batch, n)
+    assert rows(sinks.current(spark, root, "t", ["k"])) == [(0, 48), (1, 49), (2, 47)]
+    assert len(sinks.change_batches(spark, root, "t")) <= 8 and len(versions(spark, root, "t/base")) == 2
+    assert versions(spark, root, "whole") == [6, 7, 8]
+    (tmp_path / "t" / "changes" / "batch=49" / "_SUCCESS").unlink()
+    assert rows(sinks.current(spark, root, "t", ["k"])) == [(0, 48), (1, 46), (2, 47)]
 
 
 def quiz_lines(seed, count):
@@ -255,7 +279,7 @@ def test_province_lookup_matches_a_plain_range_join(spark):
 
 def test_a_retried_batch_counts_once(spark, tmp_path):
     root = str(tmp_path)
-    write = sinks.upsert_table(root, "t")
+    write = sinks.upsert_table(root, "t", ["k"])
     frame = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n int")
     write(frame, 0)
     write(spark.createDataFrame([("a", 5)], "k string, n int"), 1)
@@ -290,7 +314,7 @@ def test_archive_and_replay(spark, feed, tmp_path):
         streams.folder_stream(feed.sibling, str(feed.folder)), "page_topic", feed.root, feed.root + "/c", day=F.lit("20240102")
     ).awaitTermination()
     kept = spark.read.text(feed.root + "/archive")
-    assert rows(kept) == [("x 1", "page_topic", 20240101), ("y 2", "page_topic", 20240101), ("z 3", "page_topic", 20240102)]
+    assert rows(kept) == [("x 1", "page_topic", "20240101"), ("y 2", "page_topic", "20240101"), ("z 3", "page_topic", "20240102")]
 
     again = str(tmp_path / "replayed")
     publish_files(read_lines(spark, str(feed.folder)), again)

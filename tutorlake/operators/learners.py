@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,16 +64,43 @@ def registrations_by_platform(registrations: DataFrame) -> DataFrame:
     return with_platform(registrations).groupBy("app_name").agg(F.count(F.lit(1)).alias("num"))
 
 
+def event_time() -> Column:
+    """When a registration happened, as it says itself; null where that cannot be read."""
+    return F.col("createtime").try_cast("timestamp")
+
+
 def registrations_in_window(
-    registrations: DataFrame, time: Column, length: str = "60 seconds", slide: str = "6 seconds",
-    lateness: str = "60 seconds",
+    registrations: DataFrame, time: Column | None = None, length: str = "60 seconds", slide: str = "6 seconds",
+    lateness: str | None = None,
 ) -> DataFrame:
-    """Registrations per platform in sliding windows over ``time``, for batch and stream.
+    """Registrations per platform in sliding windows over ``time``, for batch and stream; none is lost.
 
-    ``time`` is the event time; pass an arrival time column to count by arrival.
+    Without ``time`` a registration counts when it arrives. With :func:`event_time`, it counts at that time, however late it comes; those whose time cannot be read are counted in a window without start and
+    end. That keeps all windows in the state. ``lateness`` lets a stream forget windows: rows that come later
+    than that, and rows whose time cannot be read, are then left out.
     """
-    timed = with_platform(registrations).withColumn("seen_at", time).withWatermark("seen_at", lateness)
-    counted = timed.groupBy(F.window("seen_at", length, slide), "app_name").agg(F.count(F.lit(1)).alias("num"))
+    seen_at, forgotten = (F.current_timestamp(), lateness or length) if time is None else (time, lateness)
+    timed = with_platform(registrations).withColumn("seen_at", seen_at)
+    if forgotten:
+        window = F.window("seen_at", length, slide)
+        counted = timed.withWatermark("seen_at", forgotten).groupBy(window, "app_name").agg(F.count(F.lit(1)).alias("num"))
+        return counted.select(
+            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "app_name", "num"
+        )
+    micros = [pd.Timedelta(text) // pd.Timedelta("1us") for text in (length, slide)]
+    size, step = (F.lit(n).cast("bigint") for n in micros)
+    at = F.unix_micros("seen_at")
+    last = at - F.pmod(at, step)
+    starts = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(-(-micros[0] // micros[1]) - 1)), lambda k: last - k * step),
+        lambda start: start + size > at,
+    )
+    counted = timed.select("app_name", F.explode_outer(starts).alias("start")).groupBy("start", "app_name").agg(
+        F.count(F.lit(1)).alias("num")
+    )
     return counted.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "app_name", "num"
+        F.timestamp_micros("start").alias("window_start"),
+        F.timestamp_micros(F.col("start") + size).alias("window_end"),
+        "app_name",
+        "num",
     )

@@ -81,16 +81,26 @@ def write_version(rows: DataFrame, root: str, table: str, version: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/{table}/version={version:012d}")
 
 
-def versions(spark: SparkSession, root: str, table: str) -> list[int]:
-    """Complete versions, oldest first. A version counts once its commit marker is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the complete folders ``name=number``, lowest first. One counts once its commit marker is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return []
-    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/version=*/_SUCCESS"))
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS"))
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def versions(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Complete versions, oldest first."""
+    return numbered_folders(spark, f"{root}/{table}", "version")
+
+
 def read_version(
     spark: SparkSession, root: str, table: str, before: int | None = None
 ) -> DataFrame | None:
@@ -104,8 +114,7 @@ def read_version(
 def drop_versions(spark: SparkSession, root: str, table: str, keep: int = 3) -> None:
     """Delete all but the newest ``keep`` versions. Keep enough for readers that have already started."""
     for version in versions(spark, root, table)[:-keep]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/version={version:012d}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_folder(spark, f"{root}/{table}/version={version:012d}")
 
 
 def settle(rows: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ from tutorlake.operators.learners import (
 from tutorlake.operators.pages import add_counts, funnel, page_hits, page_steps, province_counts, top_provinces
 from tutorlake.operators.watching import VIDEO, learn_time
 from tutorlake.sources.streams import page_visits, quiz_answers, registrations, watch_events
-from tutorlake.sources.tables import read_version, write_version
+from tutorlake.sources.tables import drop_versions, read_version, write_version
 from tutorlake.streaming.coverage_state import tracked_coverage
 from tutorlake.streaming.sinks import current, replace_table, start, upsert_table
 
@@ -38,16 +38,18 @@ def count_registrations(lines: DataFrame, root: str, checkpoint: str, every: str
 def count_registrations_in_window(
     lines: DataFrame, root: str, checkpoint: str, every: str | None = None, time: Column | None = None, **windows: str
 ) -> StreamingQuery:
-    """Registrations per platform in sliding windows: table ``register_window``."""
-    seen_at = F.col("createtime").try_cast("timestamp") if time is None else time
-    counts = registrations_in_window(registrations(lines), seen_at, **windows)
-    return start(counts, upsert_table(root, "register_window"), checkpoint, "update", every)
+    """Registrations per platform in sliding windows: table ``register_window``.
+
+    Windows are over the time of arrival unless ``time`` names the time of the event.
+    """
+    counts = registrations_in_window(registrations(lines), time, **windows)
+    return start(counts, upsert_table(root, "register_window", WINDOW_KEY), checkpoint, "update", every)
 
 
 def track_mastery(lines: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Question totals per learner and topic: table ``qz_point_history``; see :func:`mastery_now`."""
     totals = question_totals(quiz_answers(lines))
-    return start(totals, upsert_table(root, "qz_point_history"), checkpoint, "update", every)
+    return start(totals, upsert_table(root, "qz_point_history", [*TOPIC, "questionid"]), checkpoint, "update", every)
 
 
 def mastery_now(spark: SparkSession, root: str) -> DataFrame:
@@ -60,13 +62,13 @@ def sum_learn_time(
 ) -> StreamingQuery:
     """Learning time by five dimensions: table ``learn_detail``."""
     totals = learn_time(watch_events(lines), unit_ms)
-    return start(totals, upsert_table(root, "learn_detail"), checkpoint, "update", every)
+    return start(totals, upsert_table(root, "learn_detail", LEARN_KEY), checkpoint, "update", every)
 
 
 def track_coverage(lines: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Watched ranges and times per learner and video: table ``video_learn_detail``."""
     tracked = tracked_coverage(watch_events(lines))
-    return start(tracked, upsert_table(root, "video_learn_detail"), checkpoint, "update", every)
+    return start(tracked, upsert_table(root, "video_learn_detail", VIDEO), checkpoint, "update", every)
 
 
 def coverage_now(spark: SparkSession, root: str) -> DataFrame:
@@ -82,9 +84,12 @@ def count_pages(lines: DataFrame, root: str, checkpoint: str, every: str | None
     def write(steps: DataFrame, batch_id: int) -> None:
         steps.persist()
         try:
+            spark = steps.sparkSession
             write_version(steps, root, "page_steps", batch_id)
+            drop_versions(spark, root, "page_steps")
             hits = steps.groupBy("page_id").agg(F.sum("num").alias("num"))
             write_version(funnel(hits), root, "page_jump_rate", batch_id)
+            drop_versions(spark, root, "page_jump_rate")
         finally:
             steps.unpersist()
 
@@ -113,6 +118,8 @@ def count_provinces(
         write_version(totals, root, "tmp_city_num_detail", batch_id)
         written = read_version(spark, root, "tmp_city_num_detail", before=batch_id + 1)
         write_version(top_provinces(written), root, "top_city_num", batch_id)
+        for table in ("tmp_city_num_detail", "top_city_num"):
+            drop_versions(spark, root, table)
 
     return start(page_visits(lines), write, checkpoint, "append", every)
 

@@ -11,55 +11,88 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
-from tutorlake.sources.tables import read_version, versions, write_version
+from tutorlake.sources.tables import (
+    drop_folder,
+    drop_versions,
+    numbered_folders,
+    read_version,
+    versions,
+    write_version,
+)
 
 BatchWriter = Callable[[DataFrame, int], None]
+KEPT = 3
+FOLD_EVERY = 20
 
 
-def replace_table(root: str, table: str) -> BatchWriter:
-    """Each batch holds the whole result (complete mode) and becomes the table's new version."""
+def replace_table(root: str, table: str, keep: int = KEPT) -> BatchWriter:
+    """Each batch holds the whole result (complete mode) and becomes the table's new version.
+
+    The newest ``keep`` versions stay, for readers that have started.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_version(batch, root, table, batch_id)
+        drop_versions(batch.sparkSession, root, table, keep)
 
     return write
 
 
-def upsert_table(root: str, table: str) -> BatchWriter:
+def upsert_table(root: str, table: str, keys: list[str], fold_every: int = FOLD_EVERY) -> BatchWriter:
     """Each batch holds the changed keys (update mode) with their new values.
 
-    Only changes are written, so a batch costs what it changed and not what the table holds.
+    Only changes are written, so a batch costs what it changed and not what the table holds. Every
+    ``fold_every`` batches they are folded into a new base, see :func:`compact`, so the table is never more
+    than two bases and twice that many changes.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/{table}/changes/batch={batch_id}")
+        if batch_id % fold_every == fold_every - 1:
+            compact(batch.sparkSession, root, table, keys)
 
     return write
 
 
+def change_batches(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Batches of changes that are complete, oldest first; one without its commit marker does not count."""
+    return numbered_folders(spark, f"{root}/{table}/changes", "batch")
+
+
 def current(spark: SparkSession, root: str, table: str, keys: list[str]) -> DataFrame:
-    """The newest values of each key: the last compacted base and the changes since."""
+    """The newest values of each key: the last compacted base and the complete changes since."""
     base_version = max(versions(spark, root, f"{table}/base"), default=-1)
     base = read_version(spark, root, f"{table}/base")
-    try:
-        changes = spark.read.parquet(f"{root}/{table}/changes").where(F.col("batch") > base_version)
-    except AnalysisException:
+    newer = [n for n in change_batches(spark, root, table) if n > base_version]
+    if not newer:
         if base is None:
-            raise
+            raise ValueError(f"{root}/{table} holds nothing yet")
         return base
+    paths = [f"{root}/{table}/changes/batch={n}" for n in newer]
+    changes = spark.read.option("basePath", f"{root}/{table}/changes").parquet(*paths)
+    changes = changes.withColumn("batch", F.col("batch").cast("bigint"))
     values = [column for column in changes.columns if column not in (*keys, "batch")]
     if base is not None:
-        changes = changes.unionByName(base.withColumn("batch", F.lit(base_version)))
+        changes = changes.unionByName(base.withColumn("batch", F.lit(base_version).cast("bigint")))
     newest = F.max_by(F.struct(*values), "batch").alias("newest")
     return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
 def compact(spark: SparkSession, root: str, table: str, keys: list[str]) -> None:
-    """Fold the changes into a new base, so that later reads start from it."""
-    last = spark.read.parquet(f"{root}/{table}/changes").agg(F.max("batch")).first()[0]
-    write_version(current(spark, root, table, keys), root, f"{table}/base", int(last))
+    """Fold the complete changes into a new base, so that later reads start from it.
+
+    The base before stays, with the changes since it, for readers that have started; what is older goes.
+    """
+    batches = change_batches(spark, root, table)
+    before = max(versions(spark, root, f"{table}/base"), default=-1)
+    if not batches or batches[-1] <= before:
+        return
+    write_version(current(spark, root, table, keys), root, f"{table}/base", batches[-1])
+    drop_versions(spark, root, f"{table}/base", keep=2)
+    for batch in batches:
+        if batch <= before:
+            drop_folder(spark, f"{root}/{table}/changes/batch={batch}")
 
 
 def start(
