@@ -25,6 +25,7 @@ LENGTH = 2048
 END = 0
 GROUP = 6000
 REMEMBERED = 400_000
+MARKS = frozenset(".,;:!?")
 
 
 @dataclass(frozen=True)
@@ -41,8 +42,9 @@ class Limits:
 class WordEncoder:
     """Token ids as little-endian 32-bit bytes, for a tokenizer whose tokens never span white space.
 
-    Texts are cut at spaces and line ends alone; any other white space is left to the tokenizer. Equal
-    words are encoded once; a memory of ``REMEMBERED`` words starts anew when it is full.
+    Texts are cut at spaces and line ends alone; any other white space is left to the tokenizer. So is
+    everything but one mark after nothing but letters, which are tokens of their own. Equal words are
+    encoded once; a memory of ``REMEMBERED`` words starts anew when it is full.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
@@ -56,8 +58,14 @@ class WordEncoder:
         if found is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            found = self.known[word] = np.array(ids, "<u4").tobytes()
+                self.known[""] = b""
+            letters = word[:-1]
+            if word[-1] in MARKS and letters.isalpha() and letters.lower().isalpha():
+                found = self.word(letters) + self.word(word[-1])
+            else:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                found = np.array(ids, "<u4").tobytes()
+            self.known[word] = found
         return found
 
     def text(self, text: str) -> bytes:
