@@ -458,7 +458,7 @@ def test_broken_archives_are_refused():
         list(warc.parse(b"nothing"))
 
 
-@pytest.mark.parametrize("name", ["op8_warc_transactions"])
+@pytest.mark.parametrize("name", ["op8_warc_transactions", "op10_quality_divergence"])
 def test_queries_match_their_sql(spark, table_dir, sf_dir, name):
     import duckdb
 

@@ -199,7 +199,8 @@ def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False)))
         .select(
             key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "base_failed", "kept", "class_distance", "word_distance",
+            "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"),
+            F.round("word_distance", 6).alias("word_distance"),
         )
     )
 
@@ -207,3 +208,75 @@ def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
 def op10_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every whole document."""
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
+
+
+def _sql() -> str:
+    """DuckDB SQL for :func:`op10_quality_divergence`, with the same patterns, word lists and limits."""
+    listed = " ".join(
+        f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in COMMON_WORDS.items()
+    )
+    languages = ", ".join(f"'{lang}'" for lang in COMMON_WORDS)
+    width = max(map(len, COMMON_WORDS.values()))
+    classes = ", ".join(f"len(regexp_extract_all(t, '{c}'))" for c in CLASSES)
+    distance = """sqrt(greatest(list_sum(list_transform(range(1, len(p) + 1), lambda k:
+        CASE WHEN p[k] > 0 THEN p[k] * log2(2 * p[k] / (p[k] + q[k])) ELSE 0 END
+        + CASE WHEN q[k] > 0 THEN q[k] * log2(2 * q[k] / (p[k] + q[k])) ELSE 0 END)) / 2, 0))"""
+
+    def shares(counts: str) -> str:
+        return f"list_transform({counts}, lambda x: x / list_sum({counts}))"
+
+    def apart(left: str, right: str) -> str:
+        return f"(SELECT {distance} FROM (SELECT {shares(left)} AS p, {shares(right)} AS q))"
+
+    return f"""
+WITH words AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w,
+        CASE lang {listed} END AS listed
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS times
+    FROM (SELECT doc_id, unnest(range(1, len(w) - {WINDOW - 2})) AS i, w FROM words WHERE len(w) >= {WINDOW}),
+        LATERAL (SELECT array_to_string(w[i:i + {WINDOW - 1}], ' ') AS five)
+), covered AS (
+    SELECT doc_id, sum(least(coalesce(after - i, {WINDOW}), {WINDOW})) AS n
+    FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM windows WHERE times > 1)
+    GROUP BY doc_id
+), measured AS (
+    SELECT words.doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        len(regexp_extract_all(t, '{SYMBOLS}')) AS n_symbols,
+        len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
+        - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))))
+            AS n_dup_lines,
+        CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+        [{classes}] AS rare,
+        list_transform(range(1, {width + 1}),
+            lambda k: len(list_filter(w, lambda x: lower(x) = listed[k]))) AS found
+    FROM words LEFT JOIN covered USING (doc_id)
+), histograms AS (
+    SELECT *, list_concat(list_concat(rare, [n_symbols]), [greatest(word_chars - n_symbols - list_sum(rare), 0)]) AS classes,
+        CASE WHEN lang IN ({languages}) THEN list_concat(found, [n_words - list_sum(found)]) END AS common
+    FROM measured
+), usual AS (
+    SELECT lang, list(c ORDER BY k) AS usual_classes FROM (
+        SELECT lang, k, sum(classes[k]) AS c FROM histograms, range(1, {len(CLASSES) + 3}) r(k)
+        WHERE lang IN ({languages}) GROUP BY lang, k) GROUP BY lang
+), usual_words AS (
+    SELECT lang, list(c ORDER BY k) AS usual_common FROM (
+        SELECT lang, k, sum(common[k]) AS c FROM histograms, range(1, {width + 2}) r(k)
+        WHERE lang IN ({languages}) GROUP BY lang, k) GROUP BY lang
+), compared AS (
+    SELECT h.*, word_chars >= {GUARD_CHARS} AND n_words >= {GUARD_WORDS} AS long_enough,
+        n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+        {apart('classes', 'usual_classes')} AS class_far, {apart('common', 'usual_common')} AS word_far
+    FROM histograms h LEFT JOIN usual USING (lang) LEFT JOIN usual_words USING (lang)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT coalesce(long_enough AND (class_far > {CLASS_LIMIT} OR word_far > {WORD_LIMIT}), false) AS kept,
+    CASE WHEN long_enough THEN round(class_far, 6) END AS class_distance,
+    CASE WHEN long_enough THEN round(word_far, 6) END AS word_distance
+FROM compared
+"""
+
+
+OP10_SQL = _sql()

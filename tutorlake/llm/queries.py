@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tutorlake.llm.decontamination import op1_pigeonhole_decontamination
 from tutorlake.llm.lm_scoring import op5_backoff_automaton
 from tutorlake.llm.packing import op3_vector_best_fit
-from tutorlake.llm.quality import op10_quality_divergence
+from tutorlake.llm.quality import OP10_SQL, op10_quality_divergence
 from tutorlake.llm.sharding import op2_rendezvous_shards
 from tutorlake.llm.simhash import op6_simhash_golay
 from tutorlake.llm.suffix_dedup import op9_suffix_array_dedup
@@ -32,4 +32,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality_divergence,
     )
 }
-ORACLES: dict[str, str] = {"op8_warc_transactions": OP8_SQL}
+ORACLES: dict[str, str] = {"op8_warc_transactions": OP8_SQL, "op10_quality_divergence": OP10_SQL}
