@@ -287,6 +287,11 @@ def all_oracles() -> dict[str, str]:
     found.update(
         clean_json_keys="select cast(event_id as string) as event_id, event_type, cast(null as string) as absent "
         "from events",
+        clean_two_loads=f"""
+            select right(coalesce(dt, 'none'), 1) as dt, site || cast(uid % 3 as string) as dn, count(*) as n,
+                   max(uid) as uid, count(paymoney) as paid
+            from ({expected_rows('dwd_pcentermempaymoney')}) e, (select unnest(['00', '']) as site) s
+            group by 1, 2""",
         clean_tsv_arity=with_shapes(
             ["register_events"],
             f"select cast(userid as string) as userid, cast(platform_code as string) as platform_code, createtime, "

@@ -20,7 +20,7 @@ from tutorlake.session import fresh_dir, stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.lines import json_objects
 from tutorlake.sources.logs import LOGS, clean
-from tutorlake.sources.tables import read_version, settle, spread
+from tutorlake.sources.tables import read_table, read_version, settle, spread, write_load
 from tutorlake.sources.views import VIEWS, view
 from tutorlake.streaming import jobs
 from tutorlake.streaming.sinks import current
@@ -82,6 +82,23 @@ def raw_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return lines.select(F.explode(F.array(line, *broken)).alias("value"))
 
 
+TWO_LOADS = "dwd_pcentermempaymoney"
+
+
+def two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log cleaned as two loads that share days and sites, the second one twice, and read back."""
+    root = fresh_dir(spark, "loads")
+    lines = raw_log(spark, sf_dir, TWO_LOADS)
+    rows = clean(lines, TWO_LOADS).withColumn("dt", F.coalesce("dt", F.lit("none")))
+    stored = rows.withColumn("dt", F.right("dt", F.lit(1))).withColumn("dn", F.concat(F.lit("00"), F.col("uid") % 3))
+    plain_sites = rows.withColumn("dt", F.right("dt", F.lit(1))).withColumn("dn", (F.col("uid") % 3).cast("string"))
+    for load, part in (("first", stored), ("second", plain_sites), ("second", plain_sites)):
+        write_load(part, root, TWO_LOADS, load, ["dt", "dn"])
+    return read_table(spark, root, TWO_LOADS).groupBy("dt", "dn").agg(
+        F.count(F.lit(1)).alias("n"), F.max("uid").alias("uid"), F.count("paymoney").alias("paid")
+    )
+
+
 def tab_lines(rows: DataFrame) -> DataFrame:
     """Each row as a good line, with trailing tabs (still good), with too few fields and too many."""
     text = [F.col(name).cast("string") for name in rows.columns]
@@ -386,6 +403,7 @@ def all_queries() -> dict[str, Query]:
     found.update({f"view_{name}": view_query(name) for name in VIEWS})
     found.update(
         clean_json_keys=json_keys,
+        clean_two_loads=two_loads,
         clean_tsv_arity=clean_tsv_arity,
         clean_page_visits=page_visits,
         mask_pii=mask_pii,
