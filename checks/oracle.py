@@ -6,10 +6,9 @@ those are rewritten (one-pass rates, pre-summed payments, ranked distinct scores
 
 from __future__ import annotations
 
+from checks.columns import LOGS, VIEWS
 from checks.raw_logs import expected_rows
 from checks.shapes import SHAPES, TABLES
-from tutorlake.sources.logs import LOGS
-from tutorlake.sources.views import VIEWS
 
 SITE_NAMES = {table: table for table in TABLES}
 
@@ -25,17 +24,13 @@ def with_shapes(names: list[str], body: str, **more: str) -> str:
     return f"with {', '.join(parts)} {body}"
 
 
-def view_columns(name: str, available: list[str]) -> str:
+def view_sql(name: str) -> str:
     spec = VIEWS[name]
-    return ", ".join(
+    columns = ", ".join(
         f"{f'cast({column} as decimal(18,4))' if column in spec.money else column} as {alias}"
-        for column, alias in spec.columns(available)
+        for column, alias in spec.pairs
     )
-
-
-def view_sql(name: str) -> str:
-    table = VIEWS[name].table
-    return f"select {view_columns(name, LOGS[table].columns)} from {table}"
+    return f"select {columns} from {spec.table}"
 
 
 # Wide tables: the views joined, the columns left out, and the shapes they need.
@@ -222,8 +217,7 @@ def all_oracles() -> dict[str, str]:
     for name, spec in VIEWS.items():
         key = f"view_{name}"
         if spec.table in LOGS:
-            tenths = [c for c in LOGS[spec.table].columns if LOGS[spec.table].kind(c) == "tenth"]
-            doubles = [spec.rename.get(c, c) for c in tenths if spec.keep is None] + spec.money
+            doubles = [b for a, b in spec.pairs if LOGS[spec.table].kind(a) == "tenth"] + spec.money
             chosen = f"* replace ({as_double(doubles)})" if doubles else "*"
             found[key] = with_shapes([spec.table], f"select {chosen} from ({view_sql(name)}) v")
     found["view_member_report"] = member_sql(
@@ -233,11 +227,9 @@ def all_oracles() -> dict[str, str]:
     wide_views = {}
     for name in ("wide_chapter", "wide_chapter_question", "wide_course", "wide_major", "wide_paper", "wide_question"):
         spec = VIEWS[name]
-        dropped = f" exclude ({', '.join(spec.drop)})"
-        renamed = f" rename ({', '.join(f'{old} as {new}' for old, new in spec.rename.items())})"
-        wide_views[name] = f"select *{dropped}{renamed} from {spec.table}"
+        wide_views[name] = view_sql(name)
         shapes, more = wide_parts(spec.table)
-        doubles = [spec.rename.get(c, c) for c in DECIMAL_COLUMNS.get(spec.table, [])]
+        doubles = [b for a, b in spec.pairs if a in DECIMAL_COLUMNS.get(spec.table, [])]
         chosen = f"* replace ({as_double(doubles)})" if doubles else "*"
         found[f"view_{name}"] = with_shapes(shapes, f"select {chosen} from {name}", **more, **{name: wide_views[name]})
 

@@ -8,7 +8,7 @@ texts are sometimes missing.
 
 from __future__ import annotations
 
-from tutorlake.sources.logs import LOGS
+from checks.columns import LOGS
 
 # The table each log is made from, and its row id.
 ORIGINS = {

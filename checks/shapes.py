@@ -7,7 +7,7 @@ name and the row's id, whole numbers a small number made from the id.
 
 from __future__ import annotations
 
-from tutorlake.sources.logs import LOGS
+from checks.columns import LOGS
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
