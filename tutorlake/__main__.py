@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from tutorlake.operators.learners import event_time
 from tutorlake.plans.cleaning import clean_logs
 from tutorlake.plans.member_day import build_members, member_day, report_members, update_zipper
 from tutorlake.plans.quiz_day import build_quiz, quiz_day, report_quiz
@@ -42,6 +43,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     clean.add_argument("--logs", required=True)
     clean.add_argument("--tables", nargs="*")
     clean.add_argument("--root", required=True)
+    clean.add_argument("--load", help="name of the load; the log folder's name by default")
 
     for name in DAY_JOBS:
         job = names.add_parser(name)
@@ -58,6 +60,11 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--per-trigger", type=int, help="most messages, or files, per batch")
         job.add_argument("--every", help="batch interval such as '3 seconds'; without it, take what is there and end")
         job.add_argument("--state-partitions", type=int)
+        if name == "registration-windows":
+            job.add_argument("--length", default="60 seconds")
+            job.add_argument("--slide", default="6 seconds")
+            job.add_argument("--event-time", action="store_true", help="count at the event's own time, not on arrival")
+            job.add_argument("--lateness", help="forget windows after this time; later rows are left out")
         if name == "provinces":
             job.add_argument("--ranges", required=True, help="table of address ranges: lo, hi, province")
 
@@ -73,7 +80,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 def run(options: argparse.Namespace) -> None:
     spark = build_session(f"tutorlake {options.job}")
     if options.job == "clean":
-        clean_logs(spark, options.logs, options.root, options.tables)
+        clean_logs(spark, options.logs, options.root, options.tables, options.load)
     elif options.job in DAY_JOBS:
         DAY_JOBS[options.job](spark, options.root, options.day)
     elif options.job == "publish":
@@ -97,8 +104,12 @@ def start_stream(spark, options: argparse.Namespace) -> None:
         more = (spark.read.parquet(options.ranges),)
     elif options.job == "archive":
         more = (options.topic,)
+    named = {}
+    if options.job == "registration-windows":
+        named = {"length": options.length, "slide": options.slide, "lateness": options.lateness}
+        named["time"] = event_time() if options.event_time else None
     checkpoint = f"{options.root}/checkpoints/{options.job}"
-    job(lines, *more, options.root, checkpoint, every=options.every).awaitTermination()
+    job(lines, *more, options.root, checkpoint, every=options.every, **named).awaitTermination()
 
 
 if __name__ == "__main__":
