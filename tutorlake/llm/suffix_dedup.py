@@ -279,6 +279,8 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     marked = settle(_expand(documents, ["text"], "mark long, place int", anchors), "anchors")
     often = marked.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
+    # Stored, so that both sides of the join come from plain shuffles and a hot mark can be split.
+    often = settle(often, "often")
     candidates = marked.join(often, "mark").groupBy("id").agg(F.collect_set("place").alias("places"))
     texts = settle(documents.join(candidates, "id"), "candidates")
 
