@@ -73,16 +73,18 @@ def captures_of(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", base32(F.upper(F.sha1(F.encode("payload", "UTF-8")))))
+    rows_of = rows
     total = rows.agg(F.sum(F.octet_length("payload")).alias("n")).first()["n"] or 0
-    rows = rows.repartition(max(1, -(-(total + 1) // FILE_BYTES)), "page", "digest")
-    turns = rows.groupBy("page", "digest").agg(F.count(F.lit(1)).alias("times"), F.first(F.octet_length("payload")).alias("size"))
+    # Payloads are dealt once, by page and digest; join and numbering keep that dealing.
+    rows = rows.withColumn("own", F.struct("page", "digest")).repartition(max(1, -(-(total + 1) // FILE_BYTES)), "own")
+    turns = rows_of.groupBy("page", "digest").agg(F.count(F.lit(1)).alias("times"), F.first(F.octet_length("payload")).alias("size"))
     ranked = F.struct(F.col("page").isNull().alias("last"), F.col("page"))
     first = turns.where(F.col("size") >= least).groupBy("digest").agg(F.min(ranked)["page"].alias("first"))
     known = turns.join(first, "digest", "left").select(
-        F.col("page").alias("of_page"), F.col("digest").alias("of_digest"), "first", (F.col("digest").isNotNull() & F.col("first").isNotNull()).alias("has"),
+        F.struct("page", "digest").alias("of"), "first",
         F.coalesce(F.col("size") >= least, F.lit(False)).alias("counts"), "times",
     )
-    joined = rows.join(known, F.col("page").eqNullSafe(F.col("of_page")) & (F.col("digest") == F.col("of_digest")))
+    joined = rows.join(known, F.col("own") == F.col("of"))
     window = _turns()
     numbered = joined.withColumn("turn", F.when(F.col("times") > 1, F.row_number().over(window)).otherwise(1))
     original = ~F.col("counts") | (F.col("page").eqNullSafe(F.col("first")) & (F.col("turn") == 1))
@@ -96,7 +98,7 @@ def captures_of(pages: DataFrame, key: str = "page_id", url: str = "url", html:
 def _turns():
     from pyspark.sql.window import Window
 
-    return Window.partitionBy("page", "digest").orderBy("url")
+    return Window.partitionBy("own").orderBy("url")
 
 
 def write(captures: DataFrame, path: str, compression: str = "none") -> None:
@@ -243,7 +245,7 @@ def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC captures, read back, assembled, and revisits resolved to their responses."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     path = fresh_dir(spark, "warc")
-    write(captures_of(pages), path)
+    write(captures_of(pages), path, "gzip")
     records = settle(read(spark, path, with_payload=False).drop("payload"), "records")
     rows = assemble(records).select(
         "record_id",
