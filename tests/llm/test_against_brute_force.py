@@ -14,8 +14,9 @@ import public_tokenizers
 import pytest
 import xxhash
 
+import corpus_pipeline
 from tests.llm.conftest import prose
-from tutorlake.llm import decontamination, lm_scoring, packing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from tutorlake.llm import decontamination, lm_scoring, near_copies, packing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 from tutorlake.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -232,6 +233,49 @@ def test_components_of_long_chains(spark):
     assert got == {(k, 0) for k in range(61)} | {(100, 100), (101, 100)}
 
 
+def slow_similarity(a, b):
+    sets = []
+    for text in (a, b):
+        words = lower(text).encode().split()
+        sets.append({tuple(words[n : n + 5]) for n in range(max(1, len(words) - 4))} if words else set())
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
+@pytest.mark.parametrize("bucket", [near_copies.BUCKET, 2])
+def test_planted_near_copies_go(spark, monkeypatch, bucket):
+    """All pairs of similarity 0.8 or more are found and no other: a recall of 1 over the planted copies."""
+    monkeypatch.setattr(near_copies, "BUCKET", bucket)
+    draw = random.Random(6)
+    texts = ["", " ", None, "one", "ONE", "one two three"]
+    for base in range(12):
+        words = prose(500 + base, draw.choice((40, 120, 400))).split()
+        for _ in range(12):
+            copy = list(words)
+            for _ in range(draw.randint(0, 1 + len(words) // 40)):
+                copy[draw.randrange(len(copy))] = f"w{draw.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    parent = list(range(len(texts)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    near = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            if (similar := slow_similarity(texts[a], texts[b])) >= 0.8:
+                near += similar < 1
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    assert near > 100
+    rows = [(k, x, "en", "s", 1) for k, x in enumerate(texts)] + [(9, texts[9], "en", "s", 1), (None, texts[9], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    first = [k for k in range(len(texts)) if root(k) == k]
+    assert sorted(left, key=str) == sorted([*first, None, *[9] * (root(9) == 9)], key=str)
+
+
 # Suffix arrays ---------------------------------------------------------------------------------
 
 

@@ -200,16 +200,6 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     return classes(settle(fingerprints(documents.select(key, text), text), "fingerprints"), key)
 
 
-def first_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that have a near-duplicate of smaller key, directly or over others.
-
-    Rows of one key are one document and stay or go together; rows without a key stay.
-    """
-    keyed = documents.where(F.col(key).isNotNull())
-    later = near_duplicates(keyed, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return documents.join(later, key, "left_anti").select(*documents.columns)
-
-
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
