@@ -102,6 +102,13 @@ def test_best_fit_holds_every_capacity(rule):
         packing.best_fit(np.array([301]), limits)
 
 
+@pytest.mark.parametrize("rule", ["residual", "product"])
+def test_tokens_alone_close_a_sequence(rule):
+    """Texts of one token each fill sequences of 2,048 tokens, not of fewer."""
+    sequence, _ = packing.best_fit(np.ones(2 * packing.LENGTH, np.int64), packing.Limits(rule=rule))
+    assert len(np.unique(sequence)) == 2
+
+
 def test_prefix_counts_equal_the_library():
     import sentencepiece
 

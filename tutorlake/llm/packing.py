@@ -30,10 +30,14 @@ MARKS = frozenset(".,;:!?")
 
 @dataclass(frozen=True)
 class Limits:
-    """What a sequence can hold, and the weights of tokens, documents and attention cost in the choice."""
+    """What a sequence can hold, and the weights of tokens, documents and attention cost in the choice.
+
+    As given, tokens alone can close a sequence: a piece has at least one token, and a sum of squares is at
+    most the square of the sum. The other two bind when they are set lower.
+    """
 
     tokens: int = LENGTH
-    documents: int = 512
+    documents: int = LENGTH
     attention: int = LENGTH * LENGTH
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
     rule: str = "residual"
