@@ -102,6 +102,23 @@ def test_best_fit_holds_every_capacity(rule):
         packing.best_fit(np.array([301]), limits)
 
 
+def test_equal_pieces_are_dealt_over_all_groups(spark):
+    rows = [(k, 0, 0, 1 + k % 50, k) for k in range(300)] + [(None, 0, 0, 7, 5)] * 500 + [(9, 1, 2048, 30, 6)] * 400
+    fields = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    seen = []
+    for parts in (3, 5):
+        cut = spark.createDataFrame(rows, fields).repartition(parts)
+        numbers = Counter((r["doc_id"], r["ids_crc32"], r["__copy"]) for r in packing.numbered(cut).collect())
+        assert set(numbers.values()) == {1} and len(numbers) == len(rows)
+        packed = packing.pack(cut, group=60).collect()
+        assert Counter(tuple(r)[:5] for r in packed) == Counter(rows)
+        for equal in (5, 6):
+            own = [r for r in packed if r["ids_crc32"] == equal and r["start"] in (0, 2048) and r["doc_id"] in (None, 9)]
+            assert max(Counter(r["sequence_id"] >> 32 for r in own).values()) < 80
+        seen.append(Counter(r["sequence_id"] for r in packed))
+    assert seen[0] == seen[1]
+
+
 @pytest.mark.parametrize("rule", ["residual", "product"])
 def test_tokens_alone_close_a_sequence(rule):
     """Texts of one token each fill sequences of 2,048 tokens, not of fewer."""

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,14 +160,29 @@ def best_fit(lengths: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarra
     return sequence, offset
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """All rows with ``__copy``, the number of each among the rows equal to it, from 0.
+
+    Equal rows are counted per partition and told apart by where the counts of their partition begin, so no
+    task holds more of them than one partition had. The numbers are the same however the rows are stored.
+    """
+    names = rows.columns
+    counts = rows.withColumn("__part", F.spark_partition_id()).groupBy(*names, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*names).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    begun = counts.withColumn("__from", F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long")))
+    copies = F.explode(F.sequence("__from", F.col("__from") + F.col("__n") - 1))
+    return begun.repartition(*names, "__part").select(*names, copies.alias("__copy"))
+
+
 def pack(cut: DataFrame, limits: Limits = Limits(), key: str = "doc_id", group: int = GROUP) -> DataFrame:
     """All pieces with ``sequence_id`` and ``offset``; every sequence is filled from 0 without gaps.
 
-    Pieces are dealt at random into groups of about ``group`` and packed group by group, so work and
-    memory of a task are bounded. A group wastes room in about one sequence of the many it fills.
+    Pieces are dealt at random into groups of about ``group``, equal ones too, and packed group by group, so
+    work and memory of a task are bounded. A group wastes room in about one sequence of the many it fills.
     """
     groups = max(1, round(cut.count() / group))
-    dealt = cut.withColumn("__group", F.pmod(F.xxhash64(key, "piece", "ids_crc32", "start"), F.lit(groups)))
+    mark = F.xxhash64(key, "piece", "ids_crc32", "start", "__copy")
+    dealt = numbered(cut).withColumn("__group", F.pmod(mark, F.lit(groups))).drop("__copy")
     schema = T.StructType(
         [*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
