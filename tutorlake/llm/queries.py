@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tutorlake.llm.decontamination import op1_pigeonhole_decontamination
 from tutorlake.llm.lm_scoring import op5_backoff_automaton
+from tutorlake.llm.minhash import op12_minhash_multi_index
 from tutorlake.llm.packing import op3_vector_best_fit
+from tutorlake.llm.periodic_runs import op13_periodic_runs
 from tutorlake.llm.quality import OP10_SQL, op10_quality_divergence
 from tutorlake.llm.sharding import op2_rendezvous_shards
 from tutorlake.llm.simhash import op6_simhash_golay
+from tutorlake.llm.spelling import op11_trie_frontier
 from tutorlake.llm.suffix_dedup import op9_suffix_array_dedup
 from tutorlake.llm.token_counts import op7_prefix_token_counts
 from tutorlake.llm.toxicity import op4_toxicity_neighbours
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_transactions,
         op9_suffix_array_dedup,
         op10_quality_divergence,
+        op11_trie_frontier,
+        op12_minhash_multi_index,
+        op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {"op8_warc_transactions": OP8_SQL, "op10_quality_divergence": OP10_SQL}
