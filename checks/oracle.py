@@ -427,6 +427,25 @@ def all_oracles() -> dict[str, str]:
             "select * from coverage join ranges using (userid, cwareid, videoid)",
             islands=ISLANDS, coverage=COVERAGE, ranges=RANGE_TEXT,
         ),
+        register_topic=with_shapes(
+            ["register_events"],
+            f"""select 'total' as counted, cast(null as varchar) as window_start, {PLATFORM} as app_name, count(*) as num
+                from {REGISTERED} group by 3
+                union all
+                select 'window', strftime(opened - to_hours(6 * back), '%Y-%m-%d %H:%M:%S'), app_name, count(*)
+                from (select time_bucket(interval '6 hours', cast(createtime as timestamp), timestamp '2000-01-01')
+                             as opened, {PLATFORM} as app_name, unnest(range(4)) as back from {REGISTERED}) r
+                group by 2, 3""",
+        ),
+        course_learn_topic=with_shapes(
+            ["watch_events"],
+            f"""select dimension, key, totaltime, cast(null as bigint) as effecttime, cast(null as bigint) as completetime,
+                       cast(null as varchar) as play_interval from ({LEARN}) l
+                union all
+                select 'video_learn_detail', concat_ws('_', userid, cwareid, videoid), totaltime, effecttime, completetime,
+                       play_interval from coverage join ranges using (userid, cwareid, videoid)""",
+            islands=ISLANDS, coverage=COVERAGE, ranges=RANGE_TEXT,
+        ),
         page_hits=pages_sql(HITS),
         page_steps=pages_sql(
             "select last_page_id, page_id, next_page_id, count(*) as num from visits "

@@ -329,6 +329,33 @@ def learn_by_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def register_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both registration counts of one job; totals have no window."""
+    def job(lines, root, checkpoint):
+        return jobs.track_registrations(lines, root, checkpoint, time=learners.event_time(), length="1 day", slide="6 hours")
+
+    def result(s, root):
+        totals, windows = jobs.registrations_now(s, root)
+        utc = F.expr("timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, unix_seconds(window_start))")
+        timed = windows.select(F.lit("window").alias("counted"), time_text(utc).alias("window_start"), "app_name", "num")
+        return totals.select(F.lit("total").alias("counted"), F.lit(None).cast("string"), "app_name", "num").union(timed).toDF(*timed.columns)
+
+    return run_job(spark, sf_dir, "register_topic", "register_events", tab_lines, job, result)
+
+
+def course_learn_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learning time by five dimensions and watched ranges per video, of one job."""
+    def result(s, root):
+        coverage, times = jobs.course_learn_now(s, root)
+        video = F.concat_ws("_", *watching.VIDEO)
+        none = [F.lit(None).cast(k).alias(c) for c, k in (("effecttime", "bigint"), ("completetime", "bigint"), ("play_interval", "string"))]
+        return times.select("dimension", "key", "totaltime", *none).union(
+            coverage.select(F.lit("video_learn_detail"), video, "totaltime", "effecttime", "completetime", "play_interval")
+        )
+
+    return run_job(spark, sf_dir, "course_learn", "watch_events", json_lines, jobs.track_course_learn, result)
+
+
 def video_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = streams.watch_events(json_lines(shape(spark, sf_dir, "watch_events")))
     return watching.coverage(events)
@@ -446,6 +473,8 @@ def all_queries() -> dict[str, Query]:
         video_coverage=video_coverage,
         video_ranges=video_ranges,
         video_coverage_stream=video_coverage_stream,
+        register_topic=register_topic,
+        course_learn_topic=course_learn_topic,
         page_hits=page_hits,
         page_steps=page_steps,
         page_funnel=page_funnel,

@@ -100,3 +100,10 @@ def test_one_day_reads_one_partition(spark, tmp_path):
     day = read_table(spark, root, "dwd_pcentermempaymoney", "20190722")
     assert rows(day, "uid") == [(1,)]
     assert "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([('{"uid": 1}',)], "value string")
+    for table in ("dwd_member", "dwd_qz_member_paper_question"):
+        plan = clean(lines, table)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("from_json") + plan.count("JsonToStructs") == 1

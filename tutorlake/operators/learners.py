@@ -14,6 +14,11 @@ TOPIC = ["userid", "courseid", "pointid"]
 QUESTIONS_PER_TOPIC = 30
 
 
+def _update_time(rows: DataFrame) -> list[str]:
+    """The time of change is carried along where rows have one."""
+    return [c for c in rows.columns if c == "updatetime"]
+
+
 def question_totals(answers: DataFrame) -> DataFrame:
     """Answers, right answers and first time per learner, topic and question; batch and stream.
 
@@ -24,12 +29,13 @@ def question_totals(answers: DataFrame) -> DataFrame:
         F.col("uid").try_cast("bigint").alias("userid"),
         F.col("courseid").try_cast("bigint").alias("courseid"),
         F.col("pointid").try_cast("bigint").alias("pointid"),
-        "questionid", "istrue", "createtime",
+        "questionid", "istrue", "createtime", *_update_time(answers),
     )
     return named.groupBy(*TOPIC, "questionid").agg(
         F.count(F.lit(1)).alias("answers"),
         F.count_if(F.col("istrue") == "1").alias("right"),
         F.min("createtime").alias("createtime"),
+        *[F.max(c).alias(c) for c in _update_time(answers)],
     )
 
 
@@ -40,6 +46,7 @@ def mastery(totals: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("qz_count"),
         F.sum("right").alias("qz_istrue"),
         F.min("createtime").alias("createtime"),
+        *[F.max(c).alias(c) for c in _update_time(totals)],
     )
     correct = F.try_divide(F.col("qz_istrue").cast("double"), F.col("qz_sum"))
     done = F.col("qz_count") / F.lit(float(QUESTIONS_PER_TOPIC))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tutorlake.functions.numbers import whole_units
@@ -32,19 +32,20 @@ def learn_rows(events: DataFrame, unit_ms: dict[str, int] | None = None) -> Data
         )
         for table, column in LEARN_DIMENSIONS.items()
     ]
-    return events.select(F.explode(F.array(*parts)).alias("part")).select("part.*")
+    carried = [c for c in events.columns if c == "updatetime"]
+    return events.select(F.explode(F.array(*parts)).alias("part"), *carried).select("part.*", *carried)
 
 
-def learn_time(events: DataFrame, unit_ms: dict[str, int] | None = None) -> DataFrame:
-    """Total learning time by each dimension, for batch and stream.
+def learn_time(events: DataFrame, unit_ms: dict[str, int] | None = None, *more: Column) -> DataFrame:
+    """Total learning time by each dimension, for batch and stream, and ``more`` aggregates.
 
     One scan for all five dimensions; partial sums keep hot keys out of the shuffle.
     """
     rows = learn_rows(events, unit_ms)
-    return rows.groupBy("dimension", "key").agg(F.sum("spent").alias("totaltime"))
+    return rows.groupBy("dimension", "key").agg(F.sum("spent").alias("totaltime"), *more)
 
 
-def _by_start(events: DataFrame) -> DataFrame:
+def _by_start(events: DataFrame, *more: Column) -> DataFrame:
     """Events reduced to one row per video and start position, before anything is ordered.
 
     Of the events that start at one position, the longest decides what is newly covered (the rest
@@ -54,7 +55,20 @@ def _by_start(events: DataFrame) -> DataFrame:
     elapsed = F.coalesce(whole_units(F.col("ts"), F.col("te")), F.lit(0).cast("bigint"))
     end_then_time = F.struct("pe", elapsed.alias("elapsed"))
     return events.withColumnRenamed("uid", "userid").groupBy(*VIDEO, "ps").agg(
-        F.max("pe").alias("pe"), F.max_by(elapsed, end_then_time).alias("elapsed"), F.sum(elapsed).alias("total")
+        F.max("pe").alias("pe"), F.max_by(elapsed, end_then_time).alias("elapsed"), F.sum(elapsed).alias("total"), *more
+    )
+
+
+def batch_coverage(events: DataFrame) -> DataFrame:
+    """Per learner and video what a batch brings: ``fresh`` ranges in order of start, elapsed ``spent``, ``updatetime``.
+
+    An array per video, of one range per second at most; events without extent only add to the time.
+    """
+    changed = F.max("updatetime").alias("updatetime")
+    reduced = _by_start(events, changed)
+    ranged = F.when(F.col("pe") > F.col("ps"), F.struct(*[F.col(c).cast("bigint").alias(c) for c in ("ps", "pe", "elapsed")]))
+    return reduced.groupBy(*VIDEO).agg(
+        F.sort_array(F.collect_list(ranged)).alias("fresh"), F.sum("total").cast("bigint").alias("spent"), changed
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 END_KEY = "__end"
@@ -14,16 +14,21 @@ def json_objects(lines: DataFrame, keys: list[str]) -> DataFrame:
     A key that is missing is null. All values are read as text because the logs write numbers both bare
     and quoted. Malformed text, arrays, scalars, names in single quotes and lines with anything after the
     object, a second object too, are broken lines and dropped. The line is parsed once, as the first of two
-    members of an array: only if the parser comes to the second one was the first one whole.
+    members of an array: only if the parser comes to the second one was the first one whole. The parse is bound to a name
+    inside one generator, since the optimizer would copy a plain column's parse into the filter and every term of it.
     """
     members = ", ".join(f"`{key}`: string" for key in [*keys, END_KEY])
     line = F.trim("value", F.lit(" \t\r\n"))
     framed = F.concat(F.lit("["), line, F.lit(f',{{"{END_KEY}":"1"}}]'))
     parsed = F.from_json(framed, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
-    objects = lines.where(F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}"))).select(parsed.alias("parsed"))
-    first, last = F.get("parsed", F.lit(0)), F.get("parsed", F.lit(1))
-    whole = (F.size("parsed") == 2) & first.isNotNull() & (last[END_KEY] == "1") & first[END_KEY].isNull()
-    return objects.where(whole).select(*[first[key].alias(key) for key in keys])
+
+    def whole(members: Column) -> Column:
+        first, last = F.get(members, F.lit(0)), F.get(members, F.lit(1))
+        return (F.size(members) == 2) & first.isNotNull() & (last[END_KEY] == "1") & first[END_KEY].isNull()
+
+    objects = F.transform(F.filter(F.array(parsed), whole), lambda members: F.get(members, F.lit(0)))
+    braced = lines.where(F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}")))
+    return braced.select(F.inline(objects)).select(*[F.col(f"`{key}`") for key in keys])
 
 
 def tab_fields(lines: DataFrame, names: list[str]) -> DataFrame:

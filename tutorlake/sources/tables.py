@@ -91,6 +91,17 @@ def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def mark_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder that counts as complete: an empty commit marker, created in one step, is all it holds."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
@@ -102,10 +113,10 @@ def versions(spark: SparkSession, root: str, table: str) -> list[int]:
 
 
 def read_version(
-    spark: SparkSession, root: str, table: str, before: int | None = None
+    spark: SparkSession, root: str, table: str, before: int | None = None, since: int = 0
 ) -> DataFrame | None:
-    """The newest version, or the newest one below ``before``; None when there is none."""
-    usable = [v for v in versions(spark, root, table) if before is None or v < before]
+    """The newest version, or the newest one below ``before`` and not below ``since``; None when there is none."""
+    usable = [v for v in versions(spark, root, table) if v >= since and (before is None or v < before)]
     if not usable:
         return None
     return spark.read.parquet(f"{root}/{table}/version={usable[-1]:012d}")

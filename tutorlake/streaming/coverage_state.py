@@ -14,9 +14,11 @@ from itertools import islice
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tutorlake.functions.numbers import whole_units
@@ -116,3 +118,54 @@ def tracked_coverage(events: DataFrame) -> DataFrame:
     return needed.groupBy(*VIDEO).transformWithState(
         CoverageProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="None"
     )
+
+
+FOLDED_SCHEMA = f"{OUTPUT_SCHEMA}, updatetime string, starts array<bigint>, ends array<bigint>"
+
+
+def folded(known: tuple[list, list, int, int], fresh: np.ndarray, spent: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Ranges and times after a batch of ranges (rows ``ps``, ``pe``, ``elapsed``, one per start, in order)."""
+    starts, ends = np.array(known[0], "int64"), np.array(known[1], "int64")
+    total, effective = known[2] + spent, known[3]
+    if fresh.size:
+        ps, pe, elapsed = fresh
+        effective += int((elapsed * newly_covered(starts, ends, ps, pe) // (pe - ps)).sum())
+        starts, ends = join_ranges(np.concatenate([starts, ps]), np.concatenate([ends, pe]))
+    return starts, ends, total, effective
+
+
+def fold_coverage(fresh: DataFrame, known: DataFrame | None) -> DataFrame:
+    """New ranges and times of the videos of a batch, from :func:`batch_coverage` and the values before it.
+
+    Rows reach Python in Arrow batches, each with its ranges as arrays, not event by event.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    columns = ["starts", "ends", "totaltime", "effecttime"]
+    if known is None:
+        kinds = ("array<bigint>", "array<bigint>", "bigint", "bigint")
+        rows = fresh.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip(columns, kinds, strict=True)])
+    else:
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in VIDEO]
+        rows = fresh.join(known.select(*[F.col(k).alias(f"_{k}") for k in VIDEO], *columns), same, "left")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for row in batch.to_pylist():
+                ranges = np.array([(r["ps"], r["pe"], r["elapsed"]) for r in row["fresh"]], "int64").reshape(-1, 3).T
+                before = (row["starts"] or [], row["ends"] or [], row["totaltime"] or 0, row["effecttime"] or 0)
+                starts, ends, total, effective = folded(before, ranges, row["spent"])
+                low, high = starts.tolist(), ends.tolist()
+                made.append(
+                    {k: row[k] for k in VIDEO}
+                    | {"totaltime": total, "effecttime": effective, "completetime": int((ends - starts).sum())}
+                    | {"play_interval": ",".join(f"{a}-{b}" for a, b in zip(low, high, strict=True))}
+                    | {"updatetime": row["updatetime"], "starts": low, "ends": high}
+                )
+            yield pa.RecordBatch.from_pylist(made, schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kind = T.StructType.fromDDL(FOLDED_SCHEMA)
+    schema = to_arrow_schema(kind)
+    return rows.select(*VIDEO, "fresh", "spent", "updatetime", *columns).mapInArrow(fold, kind)
