@@ -471,4 +471,5 @@ def all_oracles() -> dict[str, str]:
             select concat_ws(chr(9), cast(event_id as string), event_type, props, strftime(ts, '%Y%m%d')) as value,
                    'page_topic' as topic, strftime(ts, '%Y%m%d') as day from events""",
     )
+    found["member_history"] = found["zipper_merge"]
     return found

@@ -16,6 +16,7 @@ from tutorlake.functions.numbers import ipv4_number, money, tenth, whole_units
 from tutorlake.functions.privacy import mask_name, mask_phone, redacted_password
 from tutorlake.operators import learners, member_reports, members, pages, paper_reports, quiz_wide, watching
 from tutorlake.operators.zipper import zipper_merge
+from tutorlake.plans.member_history import add_days, read_history
 from tutorlake.session import fresh_dir, stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.lines import json_objects
@@ -199,6 +200,17 @@ def zipper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(zipper_merge(history, later, date))
 
 
+def member_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history after three runs: the days before the split, those from it on, and these once more."""
+    days = members.day_payments(payments(spark, sf_dir), shape(spark, sf_dir, "dwd_vip_level"))
+    date = f"{ZIPPER_SPLIT_DAY[:4]}-01-01"
+    root = fresh_dir(spark, "history")
+    add_days(spark, root, days.where(F.col("start_time") < date), 10101, 19961231)
+    for _ in range(2):
+        add_days(spark, root, days.where(F.col("start_time") >= date), int(ZIPPER_SPLIT_DAY), 99991231)
+    return plain(read_history(spark, root))
+
+
 def member_count(report: str) -> Query:
     column = member_reports.COUNT_REPORTS[report]
     return lambda spark, sf_dir: member_reports.count_members(wide(spark, sf_dir, "dws_member"), column)
@@ -443,6 +455,7 @@ def all_queries() -> dict[str, Query]:
         member_wide=wide_query("dws_member"),
         member_day_pay=day_payments,
         zipper_merge=zipper,
+        member_history=member_history,
         member_count_appregurl=member_count("ads_register_appregurlnum"),
         member_count_sitename=member_count("ads_register_sitenamenum"),
         member_count_regsource=member_count("ads_register_regsourcenamenum"),

@@ -9,12 +9,13 @@ from tutorlake.functions.numbers import MONEY_SUM, money
 from tutorlake.operators.member_reports import COUNT_REPORTS, count_members, top_payers
 from tutorlake.operators.members import day_payments, member_wide
 from tutorlake.operators.zipper import zipper_merge
+from tutorlake.plans.member_history import update_history
 from tutorlake.sources.tables import on_day, read_table, read_version, write_table, write_version
 from tutorlake.sources.views import VIEWS, view
 
 PARTITIONS = ["dt", "dn"]
 ZIPPER = "dws_member_zipper"
-ZIPPER_SCHEMA = f"uid int, paymoney {MONEY_SUM}, vip_level string, start_time string, end_time string, dn string"
+ZIPPER_SCHEMA = f"uid bigint, paymoney {MONEY_SUM}, vip_level string, start_time string, end_time string, dn string"
 
 
 def _view(spark: SparkSession, root: str, name: str, day: str | None = None) -> DataFrame:
@@ -35,7 +36,9 @@ def build_members(spark: SparkSession, root: str, day: str) -> None:
 
 
 def update_zipper(spark: SparkSession, root: str, day: str, last_day: str | None = None) -> None:
-    """Add a day, or the days up to ``last_day``, to the payment history as a new version of it.
+    """Add a day, or the days up to ``last_day``, to the payment history as a new version of the whole of it.
+
+    For histories small enough to be copied; :mod:`tutorlake.plans.member_history` keeps closed rows in place.
 
     Versions are numbered by their last day, and a run starts from the newest version before ``day``,
     so running a day again, or an older day and all after it, gives the same history.
@@ -62,5 +65,5 @@ def report_members(spark: SparkSession, root: str, day: str) -> None:
 
 def member_day(spark: SparkSession, root: str, day: str) -> None:
     build_members(spark, root, day)
-    update_zipper(spark, root, day)
+    update_history(spark, root, day)
     report_members(spark, root, day)
