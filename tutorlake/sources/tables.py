@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,6 +131,20 @@ def drop_versions(spark: SparkSession, root: str, table: str, keep: int = 3) ->
         drop_folder(spark, f"{root}/{table}/version={version:012d}")
 
 
+_watching: list[list[str]] = []
+
+
+@contextmanager
+def stored_paths() -> Iterator[list[str]]:
+    """The paths that :func:`settle` writes to in the meantime, for whoever knows when they have been read for good."""
+    paths: list[str] = []
+    _watching.append(paths)
+    try:
+        yield paths
+    finally:
+        _watching[:] = [other for other in _watching if other is not paths]
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
@@ -136,4 +153,6 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
     spark = rows.sparkSession
     path = fresh_dir(spark, name)
     rows.write.parquet(path)
+    for paths in _watching:
+        paths.append(path)
     return spark.read.parquet(path)
