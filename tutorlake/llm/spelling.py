@@ -179,34 +179,47 @@ def _stored_by_level(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _advanced(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """All states one edge further on."""
+    """All states one edge further on.
+
+    A state without edits meets all edges of its node, one with an edit only the edge of its next letter.
+    """
     first, own = F.expr("substring(label, 1, 1)"), _part("word", "position", "1")
     rest = _part("label", "1")
-    def state(position: str, edits: Column, near: Column) -> Column:
-        return F.struct(F.expr(position).alias("position"), edits.alias("edits"), near.alias("near"))
+
+    def state(position: str, edits: int, near: Column) -> Column:
+        return F.struct(F.expr(position).alias("position"), F.lit(edits).alias("edits"), near.alias("near"))
 
     def edited(after: str) -> Column:
         return F.concat(_part("word", "0", "position"), first, _part("word", after))
 
-    exact = F.when(
-        F.col("label") == _part("word", "position", "length(label)"),
-        state("position + length(label)", F.col("edits"), F.col("near")),
-    )
-    fresh = F.col("edits") == 0
+    # Edges of one node differ in their first letter, and the word's own edge agrees with it as a whole.
+    exact = F.when(first == own, state("position + length(label)", 0, F.lit(None).cast("string")))
     replaced = F.when(
-        fresh & (own != "") & (first > own) & (rest == _part("word", "position + 1", "length(label) - 1")),
-        state("position + length(label)", F.lit(1), edited("position + 1")),
+        (own != "") & (first > own) & (rest == _part("word", "position + 1", "length(label) - 1")),
+        state("position + length(label)", 1, edited("position + 1")),
     )
     inserted = F.when(
-        fresh & (first != own) & (rest == _part("word", "position", "length(label) - 1")),
-        state("position + length(label) - 1", F.lit(1), edited("position")),
+        (first != own) & (rest == _part("word", "position", "length(label) - 1")),
+        state("position + length(label) - 1", 1, edited("position")),
     )
     moves = F.filter(F.array(exact, replaced, inserted), lambda m: m.isNotNull())
-    return (
-        frontier.join(edges.select("node", "label", "child", "ends"), "node")
+    edges = edges.select("node", "label", "child", "ends")
+    fresh = (
+        frontier.where("edits = 0")
+        .join(edges, "node")
         .select("word", "back", "child", "ends", F.inline(moves))
         .where("child is not null or (edits = 1 and position = length(word))")
     )
+    lettered = edges.withColumn("letter", first)
+    late = (
+        frontier.where("edits = 1")
+        .withColumn("letter", own)
+        .join(lettered, ["node", "letter"])
+        .where(F.col("label") == _part("word", "position", "length(label)"))
+        .select("word", "back", "child", "ends", F.expr("position + length(label)").alias("position"), "edits", "near")
+        .where("child is not null or position = length(word)")
+    )
+    return fresh.union(late)
 
 
 def near_words(words: DataFrame) -> DataFrame:
