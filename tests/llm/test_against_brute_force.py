@@ -265,10 +265,10 @@ def slow_similarity(a, b):
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
 
 
-@pytest.mark.parametrize("bucket", [near_copies.BUCKET, 2])
-def test_planted_near_copies_go(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("tile", [near_copies.TILE, 5])
+def test_planted_near_copies_go(spark, monkeypatch, tile):
     """All pairs of similarity 0.8 or more are found and no other: a recall of 1 over the planted copies."""
-    monkeypatch.setattr(near_copies, "BUCKET", bucket)
+    monkeypatch.setattr(near_copies, "TILE", tile)
     draw = random.Random(6)
     texts = ["", " ", None, "one", "ONE", "one two three"]
     for base in range(12):

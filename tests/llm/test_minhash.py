@@ -8,7 +8,7 @@ import re
 import numpy as np
 
 from tests.llm.conftest import prose
-from tutorlake.llm import minhash
+from tutorlake.llm import groups, minhash
 
 
 def plain_set(text):
@@ -72,7 +72,7 @@ def test_classes_are_those_of_all_pairs(spark):
 def test_tiles_change_nothing(spark, monkeypatch):
     rows = copies(2)
     monkeypatch.setattr(minhash, "TILE", 6)
-    monkeypatch.setattr(minhash, "TILE_BYTES", 8000)
+    monkeypatch.setattr(groups, "TILE_BYTES", 8000)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert classes(frame) == sorted(plain_classes(rows), key=str)
 

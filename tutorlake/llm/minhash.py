@@ -8,14 +8,12 @@ of its symbols, and every such pair shares a key. Pairs at a similarity of 0.8 s
 
 Signatures of one key are compared as a whole; those that differ in more than ``APART`` of the 128 symbols, at 0.8
 one pair in a million, are not candidates. Documents reachable over candidates form a cloud, and in a cloud
-full sets are compared. Neither keys nor clouds are expanded into pairs: a group's task walks from one member to those
-close to it that it has not met yet and returns the steps of that walk. Large groups are cut into tiles, of which
-all meet the first; what then is not part of the group's main class meets all other tiles.
+full sets are compared. Neither keys nor clouds are expanded into pairs, see :mod:`tutorlake.llm.groups`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tutorlake.llm.components import components
-from tutorlake.llm.near_copies import FACTORS, least_hashes, mixed, shingles
+from tutorlake.llm.groups import Near, confirmed, linked, sizes_fit
+from tutorlake.llm.shingles import FACTORS, least_hashes, mixed, shingles
 from tutorlake.sources.tables import settle
 
 SHINGLE = 4
 CHUNKS = 12
 WIDTH = 5
 APART = 48
-# Similarity as a fraction.
-SIMILAR = (4, 5)
-# Members of a key, and bytes of sets in a cloud, that one tile holds.
-TILE = 1024
-TILE_BYTES = 2_000_000
-# Tells which of the members numbered ``others`` are close to member ``one``.
-Near = Callable[[int, np.ndarray], np.ndarray]
+# Members of a key that one tile holds.
+TILE = 4096
 
 
 def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -79,10 +73,6 @@ def index_keys() -> F.Column:
     return F.array(*keys)
 
 
-def sizes_fit(one: int, others: np.ndarray) -> np.ndarray:
-    return SIMILAR[1] * np.minimum(others, one) >= SIMILAR[0] * np.maximum(others, one)
-
-
 def sketches_near(sizes: np.ndarray, marks: list[bytes]) -> Near:
     rows = np.frombuffer(b"".join(marks), np.uint8).reshape(len(marks), len(FACTORS))
 
@@ -95,178 +85,13 @@ def sketches_near(sizes: np.ndarray, marks: list[bytes]) -> Near:
     return near
 
 
-def sets_near(sizes: np.ndarray, marks: list[bytes]) -> Near:
-    """Exact: counts of shared shingles, over the shingles' numbers within the group."""
-    _, numbers = np.unique(np.frombuffer(b"".join(marks), np.uint64), return_inverse=True)
-    ends = np.cumsum(sizes)
-    member = np.zeros(int(numbers.max(initial=0)) + 1, bool)
-
-    def near(one: int, others: np.ndarray) -> np.ndarray:
-        own = numbers[ends[one] - sizes[one] : ends[one]]
-        member[own] = True
-        if 2 * len(others) > len(sizes):
-            shared = np.add.reduceat(member[numbers], ends - sizes)[others]
-        else:
-            shared = np.array([np.count_nonzero(member[numbers[ends[k] - sizes[k] : ends[k]]]) for k in others], np.int64)
-        member[own] = False
-        return SIMILAR[1] * shared >= SIMILAR[0] * (sizes[one] + sizes[others] - shared)
-
-    return near
-
-
-def walk(count: int, near: Near) -> list[tuple[int, int]]:
-    """Steps that join all members that are near each other, directly or over others; each member is met once."""
-    steps = []
-    unmet = np.arange(count)
-    while len(unmet) > 1:
-        open_, unmet = [int(unmet[0])], unmet[1:]
-        while open_ and len(unmet):
-            one = open_.pop()
-            found = near(one, unmet)
-            met = unmet[found].tolist()
-            steps += [(one, k) for k in met]
-            open_ += met
-            unmet = unmet[~found]
-    return steps
-
-
-def bridges(strays: np.ndarray, roots: list, near: Near) -> list[tuple[int, int]]:
-    """Steps from members marked in ``strays`` to members of other roots, one for each two roots that meet."""
-    _, labels = np.unique(np.array(roots), return_inverse=True)
-    steps = []
-    for one in np.nonzero(strays)[0].tolist():
-        others = np.nonzero(labels != labels[one])[0]
-        if not len(others):
-            break
-        for k in others[near(one, others)].tolist():
-            if labels[k] != labels[one]:
-                labels[labels == labels[k]] = labels[one]
-                steps.append((one, k))
-    return steps
-
-
-def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of one value of the first two columns after another, of sorted rows."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        group, turn = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        cuts = (np.nonzero((group[1:] != group[:-1]) | (turn[1:] != turn[:-1]))[0] + 1).tolist()
-        for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
-            if held and (group[a], turn[a]) != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = (group[a], turn[a])
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _steps(dealt: DataFrame, measure: Callable[[np.ndarray, list[bytes]], Near], rooted: bool = False) -> DataFrame:
-    """``(left, right)`` of rows ``(group, turn, node, n, mark)``, with ``(stray, root)`` if ``rooted``."""
-    kind = dealt.schema["node"].dataType
-    schema = T.StructType([T.StructField("left", kind), T.StructField("right", kind)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(left, nodes_type), pa.array(right, nodes_type)], names=["left", "right"])
-            left.clear()
-            right.clear()
-            return made
-
-        left, right, nodes_type = [], [], pa.int64()
-        for table in _by_group(batches):
-            if len(table) < 2:
-                continue
-            nodes_type = table.schema.field("node").type
-            nodes = table["node"].to_pylist()
-            near = measure(table["n"].to_numpy(), table["mark"].to_pylist())
-            if rooted:
-                found = bridges(table["stray"].to_numpy(zero_copy_only=False), table["root"].to_pylist(), near)
-            else:
-                found = walk(len(nodes), near)
-            for a, b in found:
-                if nodes[a] != nodes[b]:
-                    left.append(nodes[a])
-                    right.append(nodes[b])
-            if len(left) > 50_000:
-                yield flush()
-        yield flush()
-
-    return dealt.repartition("group", "turn").sortWithinPartitions("group", "turn").mapInArrow(run, schema)
-
-
-def linked(rows: DataFrame, measure: Callable[[np.ndarray, list[bytes]], Near], limit: int, name: str) -> DataFrame:
-    """Links ``(left, right)`` that join all nodes of a group that are near, directly or over others of the group.
-
-    ``rows`` are ``(group, size, node, n, mark)``; ``size`` is the group's, ``limit`` what a tile holds of it.
-    """
-    tiles = F.greatest(F.lit(1), F.ceil(F.col("size") / limit)).cast("int")
-    placed = rows.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node", "group"), F.col("tiles")).cast("int"))
-    one = F.col("tiles") == 1
-    turns = F.when(~one & (F.col("tile") == 0), F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("tiles") - 1))).otherwise(F.array("tile"))
-    dealt = placed.select("group", F.explode(turns).alias("turn"), "node", "n", "mark")
-    links = settle(_steps(dealt, measure).distinct(), name)
-    large = placed.where("tiles > 1")
-    if large.isEmpty():
-        return links
-    reached = components(links, "left", "right").toDF("__node", "root")
-    large = settle(
-        large.join(reached, F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node")).drop("__node"), "large"
-    )
-    shares = large.groupBy("group", "root").agg(F.count(F.lit(1)).alias("share"))
-    main = shares.groupBy("group").agg(F.max(F.struct("share", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"))
-    main = main.where("roots > 1").select(F.col("group").alias("g"), "main")
-    known = large.join(main, F.col("group") == F.col("g")).drop("g")
-    strays = known.where("root <> main")
-    counts = strays.groupBy("group").agg(F.count(F.lit(1)).alias("strays"))
-    totals = known.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-    # Strays take as many tiles as their share of the group.
-    parts = F.greatest(F.lit(1), F.ceil(F.col("tiles") * F.col("strays") / F.col("members"))).cast("int")
-    share = counts.join(totals, "group").select(F.col("group").alias("g"), "strays", "members")
-    known = known.join(share, F.col("group") == F.col("g")).drop("g").withColumn("parts", parts)
-    part = F.pmod(F.xxhash64("group", "node"), F.col("parts")).cast("int")
-    carried = ["node", "n", "mark", "root"]
-    sides = known.where("root <> main").select(
-        "group", F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda m: part * F.col("tiles") + m)).alias("turn"),
-        *carried, F.lit(True).alias("stray"),
-    ).union(
-        known.select(
-            "group", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda s: s * F.col("tiles") + F.col("tile"))).alias("turn"),
-            *carried, F.lit(False).alias("stray"),
-        )
-    )
-    return links.union(_steps(sides, measure, rooted=True)).distinct()
-
-
 def candidates(nodes: DataFrame) -> DataFrame:
     """Links ``(left, right)`` between nodes ``(node, n, index, sketch)`` that share a key and whose signatures are close."""
     keys = nodes.select(F.explode(index_keys()).alias("group"), "node")
     sizes = keys.groupBy("group").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = keys.join(sizes, "group").join(nodes.select("node", "n", F.col("sketch").alias("mark")), "node")
-    return linked(settle(met.select("group", "size", "node", "n", "mark"), "keys"), sketches_near, TILE, "near")
-
-
-def confirmed(links: DataFrame, documents: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """Links that join the documents of each cloud of candidates whose full sets are similar enough."""
-    clouds = components(links, "left", "right").toDF("node", "group")
-    kind = documents.schema[key].dataType
-    schema = T.StructType(
-        [T.StructField("group", kind), T.StructField("node", kind), T.StructField("n", T.LongType()), T.StructField("mark", T.BinaryType())]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(x.as_py(), shingle) for x in batch.column(2)]
-            columns = [pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=schema.names)
-
-    own = documents.select(F.col(key).alias("node"), F.col(text).cast("binary").alias("body")).join(clouds, "node")
-    sets = settle(own.select("group", "node", "body").mapInArrow(run, schema).where("n > 0"), "sets")
-    sizes = sets.groupBy("group").agg((F.sum("n") * 8).alias("size"))
-    return linked(sets.join(sizes, "group").select("group", "size", "node", "n", "mark"), sets_near, TILE_BYTES, "similar")
+    met = settle(met.select("group", "size", "node", "n", "mark"), "keys")
+    return linked(met, sketches_near, TILE, not met.where(F.col("size") > TILE).isEmpty(), "near")
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -282,7 +107,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     nodes = settle(
         known.groupBy("hi", "lo").agg(F.min(key).alias("node"), *[F.first(c).alias(c) for c in ("n", "index", "sketch")]), "nodes"
     )
-    links = confirmed(candidates(nodes), documents.where(F.col(key).isNotNull()), key, text, shingle)
+    links = confirmed(candidates(nodes), nodes, documents.where(F.col(key).isNotNull()), key, text, shingle)
     roots = components(links, "left", "right").toDF("__node", "root")
     rooted = nodes.join(roots, F.col("node") == F.col("__node"), "left").select(
         F.col("hi").alias("__hi"), F.col("lo").alias("__lo"), F.coalesce("root", "node").alias("root")
