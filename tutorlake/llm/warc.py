@@ -72,16 +72,17 @@ def captures_of(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", base32(F.upper(F.sha1(F.encode("payload", "UTF-8")))))
-    rows_of = rows
-    total = rows.agg(F.sum(F.octet_length("payload")).alias("n")).first()["n"] or 0
+    # Named first, then turned into base32: within the lambda each of its uses would hash the payload again.
+    hexed = rows.withColumn("hex", F.upper(F.sha1(F.encode("payload", "UTF-8"))))
+    sized = hexed.groupBy("page", "hex").agg(F.count(F.lit(1)).alias("times"), F.first(F.octet_length("payload")).alias("size"))
+    turns = settle(sized, "digests")
+    total = turns.agg(F.sum(F.col("times") * F.col("size")).alias("n")).first()["n"] or 0
     # Payloads are dealt once, by page and digest; join and numbering keep that dealing.
-    rows = rows.withColumn("own", F.struct("page", "digest")).repartition(max(1, -(-(total + 1) // FILE_BYTES)), "own")
-    turns = rows_of.groupBy("page", "digest").agg(F.count(F.lit(1)).alias("times"), F.first(F.octet_length("payload")).alias("size"))
+    rows = hexed.withColumn("own", F.struct("page", "hex")).repartition(max(1, -(-(total + 1) // FILE_BYTES)), "own")
     ranked = F.struct(F.col("page").isNull().alias("last"), F.col("page"))
-    first = turns.where(F.col("size") >= least).groupBy("digest").agg(F.min(ranked)["page"].alias("first"))
-    known = turns.join(first, "digest", "left").select(
-        F.struct("page", "digest").alias("of"), "first",
+    first = turns.where(F.col("size") >= least).groupBy("hex").agg(F.min(ranked)["page"].alias("first"))
+    known = turns.join(first, "hex", "left").select(
+        F.struct("page", "hex").alias("of"), base32(F.col("hex")).alias("digest"), "first",
         F.coalesce(F.col("size") >= least, F.lit(False)).alias("counts"), "times",
     )
     joined = rows.join(known, F.col("own") == F.col("of"))
@@ -132,7 +133,12 @@ def write(captures: DataFrame, path: str, compression: str = "none") -> None:
         ("Content-Type", "application/http; msgtype=response"),
     )
     metadata = _record(
-        "metadata", _record_id("metadata", "page", "digest", "turn"), _lines(("page-id", F.col("page").cast("string"))),
+        "metadata", _record_id("metadata", "page", "digest", "turn"),
+        _lines(
+            ("page-id", F.col("page").cast("string")),
+            ("refers-to-page-id", F.when(revisit, F.col("r_page").cast("string"))),
+            ("payload-bytes", F.when(revisit, F.octet_length("payload").cast("string"))),
+        ),
         uri, beside, ("Content-Type", "application/warc-fields"),
     )
     records = flat.select(F.explode(F.array(request, answer, metadata)).alias("value"))
@@ -242,24 +248,20 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as WARC captures, read back, assembled, and revisits resolved to their responses."""
+    """All pages written as WARC captures, read back and assembled; revisits name the page that they repeat."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     path = fresh_dir(spark, "warc")
     write(captures_of(pages), path, "gzip")
     records = settle(read(spark, path, with_payload=False).drop("payload"), "records")
-    rows = assemble(records).select(
-        "record_id",
-        F.col("response.type").alias("record_type"),
-        F.col("response.refers_to").alias("refers_id"),
-        F.col("response.payload_bytes").alias("bytes"),
+    whole = assemble(records).withColumn("beside", F.element_at("metadata", 1)["fields"])
+    kind = pages.schema["page_id"].dataType
+    # A revisit's own records tell what it repeats, so the records of one much repeated page need not meet.
+    return whole.select(
+        F.col("beside")["page-id"].cast(kind).alias("page_id"),
+        F.coalesce(F.col("response.payload_bytes"), F.col("beside")["payload-bytes"].cast("long")).alias("payload_bytes"),
         F.coalesce("response.payload_sha1", "response.payload_digest").alias("payload_digest"),
-        F.element_at("metadata", 1)["fields"]["page-id"].cast(pages.schema["page_id"].dataType).alias("page_id"),
-    )
-    referred = rows.where("record_type = 'response'").select(
-        F.col("record_id").alias("of"), F.col("page_id").alias("refers_to"), F.col("bytes").alias("of_bytes")
-    )
-    return rows.join(referred, F.col("refers_id") == F.col("of"), "left").select(
-        "page_id", F.coalesce("bytes", "of_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
+        F.col("response.type").alias("record_type"),
+        F.col("beside")["refers-to-page-id"].cast(kind).alias("refers_to"),
     )
 
 
