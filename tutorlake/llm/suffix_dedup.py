@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tutorlake.sources.tables import settle
+from tutorlake.sources.tables import drop_folder, settle, stored_paths
 
 LENGTH = 400
 GRAM = 64
@@ -277,12 +277,15 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
         return find
 
-    marked = settle(_expand(documents, ["text"], "mark long, place int", anchors), "anchors")
+    with stored_paths() as read_once:
+        marked = settle(_expand(documents, ["text"], "mark long, place int", anchors), "anchors")
     often = marked.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
     # Stored, so that both sides of the join come from plain shuffles and a hot mark can be split.
     often = settle(often, "often")
     candidates = marked.join(often, "mark").groupBy("id").agg(F.collect_set("place").alias("places"))
     texts = settle(documents.join(candidates, "id"), "candidates")
+    for path in read_once:
+        drop_folder(documents.sparkSession, path)
 
     def blocks():
         finder = Anchors(length)
