@@ -539,3 +539,18 @@ def test_queries_match_their_sql(spark, table_dir, sf_dir, name):
     columns = [d[0] for d in cursor.description]
     got = sorted((tuple(r) for r in QUERIES[name](spark, sf_dir).select(*columns).collect()), key=str)
     assert got == sorted(cursor.fetchall(), key=str)
+
+
+def test_passages_of_some_fifty_words_go(spark):
+    """Passages of 51 to 60 words that stand in several documents go, texts without repeats stay as they are."""
+    draw = random.Random(21)
+    passages = [" ".join(prose(700 + k, 51 + k).split()) for k in range(10)]
+    assert min(map(len, passages)) >= corpus_pipeline.PASSAGE
+    rows = [(k, f"{prose(800 + k, 60)} {passages[k % 10]} {prose(900 + k, draw.randint(0, 60))}") for k in range(30)]
+    rows += [(100 + k, prose(1000 + k, 150)) for k in range(10)] + [(200, None), (201, "")]
+    docs = spark.createDataFrame([(k, x, "en", "s", 1) for k, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    assert not any(p in left[k] for k in range(30) for p in passages)
+    # What is left of a passage is less than a window at either end.
+    assert all(len(left[k]) <= len(x) - len(passages[k % 10]) + 2 for k, x in rows[:30])
+    assert all(left[k] == x for k, x in rows[30:])
