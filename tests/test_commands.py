@@ -7,6 +7,7 @@ from conftest import rows
 
 from tutorlake.__main__ import parse, run
 from tutorlake.sources.tables import read_table, read_version
+from tutorlake.streaming import jobs
 
 
 def test_clean_and_replay_and_count(spark, tmp_path):
@@ -38,3 +39,22 @@ def test_provinces_and_archive(spark, tmp_path):
 def test_a_stream_needs_one_source():
     with pytest.raises(SystemExit):
         parse(["mastery", "--root", "x"])
+
+
+def test_jobs_that_write_several_tables(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("1\t1\t2024-01-01 00:00:01\nbad\n")
+    run(parse(["register-topic", "--folder", str(folder), "--root", root, "--event-time", "--length", "6 seconds"]))
+    totals, windows = jobs.registrations_now(spark, root)
+    assert rows(totals, "app_name", "num") == [("PC", 1)] and windows.count() == 1
+    learned = tmp_path / "learned"
+    learned.mkdir()
+    event = {"uid": 1, "cwareid": 2, "videoid": 3, "ts": 0, "te": 5000, "ps": 0, "pe": 5, "chapterid": 1, "sourceType": "pc"}
+    (learned / "a.txt").write_text(json.dumps(event) + "\n")
+    run(parse(["course-learn", "--folder", str(learned), "--root", root]))
+    coverage, times = jobs.course_learn_now(spark, root)
+    assert rows(coverage, "totaltime", "play_interval") == [(5, "0-5")] and times.count() == 5
+    (folder / "a.txt").write_text("1\t1\t1\tq1\t1\t2024-01-02\n")
+    run(parse(["mastery", "--folder", str(folder), "--root", root, "--updatetime"]))
+    assert jobs.mastery_now(spark, root).where("updatetime is not null").count() == 1

@@ -32,6 +32,8 @@ STREAM_JOBS = {
     "learn-time": (jobs.sum_learn_time, "course_learn"),
     "coverage": (jobs.track_coverage, "course_learn"),
     "archive": (jobs.archive, "page_topic"),
+    "register-topic": (jobs.track_registrations, "register_topic"),
+    "course-learn": (jobs.track_course_learn, "course_learn"),
 }
 
 
@@ -60,10 +62,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--per-trigger", type=int, help="most messages, or files, per batch")
         job.add_argument("--every", help="batch interval such as '3 seconds'; without it, take what is there and end")
         job.add_argument("--state-partitions", type=int)
-        if name == "registration-windows":
+        if name == "mastery":
+            job.add_argument("--updatetime", action="store_true", help="tell when each learner's totals last changed")
+        if name in ("registration-windows", "register-topic"):
             job.add_argument("--length", default="60 seconds")
             job.add_argument("--slide", default="6 seconds")
             job.add_argument("--event-time", action="store_true", help="count at the event's own time, not on arrival")
+        if name == "registration-windows":
             job.add_argument("--lateness", help="forget windows after this time; later rows are left out")
         if name == "provinces":
             job.add_argument("--ranges", required=True, help="table of address ranges: lo, hi, province")
@@ -105,8 +110,12 @@ def start_stream(spark, options: argparse.Namespace) -> None:
     elif options.job == "archive":
         more = (options.topic,)
     named = {}
+    if options.job == "mastery":
+        named = {"updatetime": options.updatetime}
     if options.job == "registration-windows":
-        named = {"length": options.length, "slide": options.slide, "lateness": options.lateness}
+        named["lateness"] = options.lateness
+    if options.job in ("registration-windows", "register-topic"):
+        named |= {"length": options.length, "slide": options.slide}
         named["time"] = event_time() if options.event_time else None
     checkpoint = f"{options.root}/checkpoints/{options.job}"
     job(lines, *more, options.root, checkpoint, every=options.every, **named).awaitTermination()
