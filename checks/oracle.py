@@ -9,6 +9,7 @@ from __future__ import annotations
 from checks.columns import LOGS, VIEWS
 from checks.raw_logs import expected_rows
 from checks.shapes import SHAPES, TABLES
+from tutorlake.operators.member_reports import COUNT_REPORTS
 
 SITE_NAMES = {table: table for table in TABLES}
 
@@ -335,6 +336,13 @@ def all_oracles() -> dict[str, str]:
         member_count_adname=member_count("adname"),
         member_count_level=member_count("memberlevel"),
         member_count_vip=member_count("vip_level"),
+        member_counts=member_sql(
+            " union all ".join(
+                f"select '{report}' as report, {column} as value, dt, dn, count(uid) as uid_count "
+                f"from dws_member group by {column}, dt, dn"
+                for report, column in COUNT_REPORTS.items()
+            )
+        ),
         member_top3_pay=member_sql(
             """select uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level,
                       cast(paymoney as double) as paymoney, cast(place as int) as rownum, dt, dn

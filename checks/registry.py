@@ -216,6 +216,10 @@ def member_count(report: str) -> Query:
     return lambda spark, sf_dir: member_reports.count_members(wide(spark, sf_dir, "dws_member"), column)
 
 
+def member_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return member_reports.all_counts(wide(spark, sf_dir, "dws_member"))
+
+
 def member_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(member_reports.top_payers(wide(spark, sf_dir, "dws_member"), ordered=True))
 
@@ -462,6 +466,7 @@ def all_queries() -> dict[str, Query]:
         member_count_adname=member_count("ads_register_adnamenum"),
         member_count_level=member_count("ads_register_memberlevelnum"),
         member_count_vip=member_count("ads_register_viplevelnum"),
+        member_counts=member_counts,
         member_top3_pay=member_top3,
         quiz_chapter_wide=wide_query("dws_qz_chapter"),
         quiz_course_wide=wide_query("dws_qz_course"),

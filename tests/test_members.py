@@ -6,6 +6,7 @@ from decimal import Decimal
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tutorlake.operators import member_reports
 from tutorlake.operators.member_reports import count_members, top_payers
 from tutorlake.operators.members import day_payments, left_chain, member_wide
 from tutorlake.operators.zipper import zipper_merge
@@ -163,3 +164,16 @@ def test_wide_plan_shuffles_each_large_input_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_all_counts_are_those_of_each_report_from_one_scan(spark):
+    columns = list(member_reports.COUNT_REPORTS.values())
+    data = [(n, *[None if n % 5 == k else f"{c}{n % (k + 2)}" for k, c in enumerate(columns)], "20190722", "web") for n in range(40)]
+    members = spark.createDataFrame([*data, (None, *data[0][1:])], ["uid", *columns, "dt", "dn"])
+    counts = member_reports.all_counts(members)
+    for report, column in member_reports.COUNT_REPORTS.items():
+        order = [column, "dt", "dn", "uid_count"]
+        assert rows(member_reports.one_report(counts, report), *order) == rows(member_reports.count_members(members, column), *order)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") <= 1 and plan.count("hashpartitioning") <= 1
+    assert counts.where("report = 'none'").isEmpty() and member_reports.all_counts(members.limit(0)).isEmpty()

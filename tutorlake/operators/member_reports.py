@@ -28,6 +28,26 @@ def count_members(members: DataFrame, column: str) -> DataFrame:
     return members.groupBy(column, "dt", "dn").agg(F.count("uid").alias("uid_count"))
 
 
+def all_counts(members: DataFrame) -> DataFrame:
+    """Rows ``(report, value, uid_count, dt, dn)`` of all count reports, from one scan of the members.
+
+    Each member gives a row per report, all of which are summed in the scan's own tasks before the shuffle. Values are
+    texts; null is a group of its own in each report.
+    """
+    parts = [
+        F.struct(F.lit(report).alias("report"), F.col(column).cast("string").alias("value"))
+        for report, column in COUNT_REPORTS.items()
+    ]
+    values = members.select("uid", "dt", "dn", F.inline(F.array(*parts)))
+    return values.groupBy("report", "value", "dt", "dn").agg(F.count("uid").alias("uid_count"))
+
+
+def one_report(counts: DataFrame, report: str) -> DataFrame:
+    """One of the reports of :func:`all_counts`, in the columns of its own table."""
+    own = counts.where(F.col("report") == report)
+    return own.select(F.col("value").alias(COUNT_REPORTS[report]), "dt", "dn", "uid_count")
+
+
 def top_payers(members: DataFrame, places: int = 3, ordered: bool = False) -> DataFrame:
     """The members who paid most, per day, site and member level; equal sums go by ``uid``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutorlake.functions.numbers import MONEY_SUM, money
-from tutorlake.operators.member_reports import COUNT_REPORTS, count_members, top_payers
+from tutorlake.operators.member_reports import COUNT_REPORTS, all_counts, one_report, top_payers
 from tutorlake.operators.members import day_payments, member_wide
 from tutorlake.operators.zipper import zipper_merge
 from tutorlake.plans.member_history import update_history
@@ -58,8 +58,13 @@ def update_zipper(spark: SparkSession, root: str, day: str, last_day: str | None
 def report_members(spark: SparkSession, root: str, day: str) -> None:
     """All member reports of the day, from the columns they need."""
     members = on_day(view(read_table(spark, root, "dws_member"), "member_report"), day)
-    for table, column in COUNT_REPORTS.items():
-        write_table(count_members(members, column), root, table, PARTITIONS)
+    # One row per value of a report: small, and made by one scan of the day.
+    counts = all_counts(members).persist()
+    try:
+        for table in COUNT_REPORTS:
+            write_table(one_report(counts, table), root, table, PARTITIONS)
+    finally:
+        counts.unpersist()
     write_table(top_payers(members), root, "ads_register_top3memberpay", PARTITIONS)
 
 
