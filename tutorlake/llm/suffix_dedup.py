@@ -10,7 +10,7 @@ two-stage sorting, with the common prefixes of neighbours shows which windows ar
     the block's whole text is its hull. Only blocks that share their core can hold equal windows.
     Equal hulls are sorted once, as one string that is there several times.
 3.  The distinct hulls of a core go to one bucket, of bounded size. A core with more than ``HULLS``
-    hulls, a passage in very many texts for instance, is split further, by its single windows.
+    hulls, a passage in very many texts for instance, is split further, by parts of a few windows, then single ones.
 
 Every step is a shuffle by content with sums before it, so copies in any number meet as counts.
 """
@@ -33,6 +33,7 @@ GRAM = 64
 BLOCK = 64
 HULLS = 1024
 BUCKET_BYTES = 400_000
+PART = 8
 STRETCH = 1 << 19
 END = 0xFF  # never part of UTF-8 text
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -361,25 +362,44 @@ def _sorted_buckets(dealt: DataFrame, length: int) -> DataFrame:
 
 
 def _single_windows(dealt: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of pieces that occur once, window by window, for cores with very many hulls."""
+    """Repeated windows of pieces that occur once, for cores with very many hulls.
 
-    def windows():
+    Pieces are cut into parts of ``PART`` windows. Parts that are equal stand for all their windows at once; of
+    different parts one each is then cut into windows, so a passage in very many texts gives few rows a text.
+    """
+
+    def parts():
         def cut(start, times, piece):
-            for k in range(len(piece) - length + 1):
-                yield start + k, times, xxhash.xxh3_128_digest(piece[k : k + length])
+            last = len(piece) - length
+            for k in range(0, last + 1, PART):
+                body = piece[k : min(k + PART - 1, last) + length]
+                yield start + k, times, xxhash.xxh3_128_digest(body), body
+
+        return cut
+
+    def windows():
+        def cut(start, times, body):
+            for k in range(len(body) - length + 1):
+                yield start + k, times, xxhash.xxh3_128_digest(body[k : k + length])
 
         return cut
 
-    single = settle(_expand(dealt, ["start", "times", "piece"], "place int, times long, window binary", windows), "windows")
     at = F.struct("id", "place")
-    again = (
-        single.groupBy("window")
-        .agg(F.min(at).alias("a"), F.max(at).alias("b"), F.max("times").alias("most"))
-        .where("a <> b or most > 1")
-        .select(F.col("window").alias("w"))
+    seen = [F.min(at).alias("a"), F.max(at).alias("b"), F.max("times").alias("most")]
+    several = (F.col("a") != F.col("b")) | (F.col("most") > 1)
+    whole = settle(_expand(dealt, ["start", "times", "piece"], "place int, times long, part binary, body binary", parts), "parts")
+    distinct = settle(whole.groupBy("part").agg(*seen, F.first("body").alias("body")), "distinct")
+    equal = distinct.where(several).select(F.col("part").alias("p"))
+    last = (F.col("place") + F.octet_length("body") - length).cast("int")
+    met = whole.where("times = 1").join(equal, F.col("part") == F.col("p")).select("id", F.col("place").alias("first"), last.alias("last"))
+
+    ones = distinct.select(
+        F.col("a.id").alias("id"), F.col("a.place").alias("place"), F.when(several, 2).otherwise(1).cast("long").alias("times"), "body"
     )
+    single = settle(_expand(ones, ["place", "times", "body"], "place int, times long, window binary", windows), "windows")
+    again = single.groupBy("window").agg(*seen).where(several).select(F.col("window").alias("w"))
     hit = single.where("times = 1").join(again, F.col("window") == F.col("w"))
-    return hit.select("id", F.col("place").alias("first"), F.col("place").alias("last"))
+    return met.union(hit.select("id", F.col("place").alias("first"), F.col("place").alias("last")))
 
 
 def _identified(documents: DataFrame, key: str, text: str) -> DataFrame:
