@@ -480,4 +480,5 @@ def all_oracles() -> dict[str, str]:
                    'page_topic' as topic, strftime(ts, '%Y%m%d') as day from events""",
     )
     found["member_history"] = found["zipper_merge"]
+    found["member_wide_stored"] = found["member_wide"]
     return found

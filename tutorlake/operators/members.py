@@ -49,15 +49,43 @@ def _one_per_member(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*MEMBER_KEY).agg(chosen).select(*MEMBER_KEY, "chosen.*")
 
 
+LEVEL_KEY = [*MEMBER_KEY, "vip_id"]
+
+
+def paid_by_level(payment: DataFrame, *more: str) -> DataFrame:
+    """Money per member and level (and ``more`` columns): ``paid``, ``payments`` and how many of them have an ``amounts``.
+
+    The counts make it possible to add such sums up and to take some of them off again: ``paid`` is null
+    without amounts, and a member without payments has no row.
+    """
+    return payment.groupBy(*more, *LEVEL_KEY).agg(
+        F.sum("paymoney").cast(MONEY_SUM).alias("paid"),
+        F.count(F.lit(1)).alias("payments"),
+        F.count("paymoney").alias("amounts"),
+    )
+
+
+def added_levels(sums: DataFrame) -> DataFrame:
+    """Several sums of :func:`paid_by_level` added up; those to take off have all three numbers negated."""
+    added = sums.groupBy(*LEVEL_KEY).agg(
+        F.sum("paid").cast(MONEY_SUM).alias("paid"), F.sum("payments").alias("payments"), F.sum("amounts").alias("amounts")
+    )
+    return added.where(F.col("payments") > 0).withColumn("paid", F.when(F.col("amounts") > 0, F.col("paid")))
+
+
 def payment_summary(payment: DataFrame, vip_level: DataFrame) -> DataFrame:
-    """Money and level of each member who paid.
+    """Money and level of each member who paid; see :func:`summary_of_levels`."""
+    return summary_of_levels(paid_by_level(payment), vip_level)
+
+
+def summary_of_levels(per_level: DataFrame, vip_level: DataFrame) -> DataFrame:
+    """Money and level of each member who paid, from sums per member and level.
 
     Money is summed per member and level before the level table is joined, and in a second step per
     member, so neither a member nor a level with very many payments reaches the join unreduced.
     """
     level = vip_level.withColumnRenamed("vip_id", "matched_vip_id").withColumnRenamed("dn", "vip_dn")
     matched = (F.col("vip_id") == F.col("matched_vip_id")) & (F.col("dn") == F.col("vip_dn"))
-    per_level = payment.groupBy(*MEMBER_KEY, "vip_id").agg(F.sum("paymoney").alias("paid"))
     joined = per_level.join(level, matched, "left").drop("vip_id", "vip_dn")
 
     def of_first_level(column: str) -> Column:
@@ -91,8 +119,20 @@ def member_wide(
     share the (uid, dn) partitioning, so every large input is shuffled once, and repeated registration
     rows cannot multiply the money. ``member`` holds one day.
     """
+    return wide_of_sums(member, regtype, base_ad, base_website, paid_by_level(payment), vip_level)
+
+
+def wide_of_sums(
+    member: DataFrame,
+    regtype: DataFrame,
+    base_ad: DataFrame,
+    base_website: DataFrame,
+    per_level: DataFrame,
+    vip_level: DataFrame,
+) -> DataFrame:
+    """:func:`member_wide` from sums per member and level in place of the payments."""
     reduced = _one_per_member(member).join(_one_per_member(regtype), MEMBER_KEY, "left")
-    paid = reduced.join(payment_summary(payment, vip_level), MEMBER_KEY, "left")
+    paid = reduced.join(summary_of_levels(per_level, vip_level), MEMBER_KEY, "left")
     site = base_website.withColumnRenamed("siteid", "matched_siteid").withColumnRenamed("dn", "site_dn")
     on_site = (F.col("siteid") == F.col("matched_siteid")) & (F.col("dn") == F.col("site_dn"))
     return (

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tutorlake.functions.numbers import MONEY_SUM, money
 from tutorlake.operators.member_reports import COUNT_REPORTS, all_counts, one_report, top_payers
-from tutorlake.operators.members import day_payments, member_wide
+from tutorlake.operators.members import day_payments, wide_of_sums
 from tutorlake.operators.zipper import zipper_merge
 from tutorlake.plans.member_history import update_history
+from tutorlake.plans.member_sums import update_sums
 from tutorlake.sources.tables import on_day, read_table, read_version, write_table, write_version
 from tutorlake.sources.views import VIEWS, view
 
@@ -23,13 +24,13 @@ def _view(spark: SparkSession, root: str, name: str, day: str | None = None) ->
 
 
 def build_members(spark: SparkSession, root: str, day: str) -> None:
-    """The wide table's partitions of the day."""
-    wide = member_wide(
+    """The wide table's partitions of the day, from the stored payment sums and the loads that are new to them."""
+    wide = wide_of_sums(
         _view(spark, root, "member", day),
         _view(spark, root, "regtype"),
         _view(spark, root, "base_ad"),
         _view(spark, root, "base_website"),
-        _view(spark, root, "payment"),
+        update_sums(spark, root),
         _view(spark, root, "vip_level"),
     )
     write_table(wide, root, "dws_member", PARTITIONS)

@@ -21,13 +21,50 @@ def read_table(spark: SparkSession, root: str, table: str, day: str | None = Non
 
     Partition values are read as text whatever the session's settings are.
     """
-    path = f"{root}/{table}"
+    rows = _partitions_as_text(spark, f"{root}/{table}").drop("load")
+    return rows if day is None else on_day(rows, day)
+
+
+def _partitions_as_text(spark: SparkSession, path: str) -> DataFrame:
     fields = [
         T.StructField(f.name, T.StringType()) if f.name in PARTITION_COLUMNS else f
         for f in spark.read.parquet(path).schema.fields
     ]
-    rows = spark.read.schema(T.StructType(fields)).parquet(path).drop("load")
-    return rows if day is None else on_day(rows, day)
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def read_loads(spark: SparkSession, root: str, table: str, loads: list[str]) -> DataFrame:
+    """Some loads of a table, with column ``load``; files of the others are not read.
+
+    A table that was not written load by load is one load with an empty name.
+    """
+    rows = _partitions_as_text(spark, f"{root}/{table}")
+    if "load" not in rows.columns:
+        return rows.withColumn("load", F.lit("")) if "" in loads else rows.withColumn("load", F.lit("")).limit(0)
+    return rows.where(F.col("load").isin(loads))
+
+
+def load_marks(spark: SparkSession, root: str, table: str) -> dict[str, str]:
+    """A mark for each load of a table that holds files, which changes when the load is written again.
+
+    It is made of the time, the number of files and the bytes. A table that was not written load by load is one
+    load with an empty name.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    path = jvm.Path(f"{root}/{table}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return {}
+
+    def mark(folder: str) -> str | None:
+        place = jvm.Path(folder)
+        done, held = jvm.Path(f"{folder}/_SUCCESS"), files.getContentSummary(place)
+        time = files.getFileStatus(done if files.exists(done) else place).getModificationTime()
+        return f"{time}-{held.getFileCount()}-{held.getLength()}" if held.getLength() else None
+
+    loads = [status.getPath() for status in files.globStatus(jvm.Path(f"{root}/{table}/load=*"))]
+    marks = {load.getName().removeprefix("load="): mark(load.toString()) for load in loads} or {"": mark(f"{root}/{table}")}
+    return {load: found for load, found in marks.items() if found}
 
 
 def on_day(rows: DataFrame, day: str | None) -> DataFrame:
