@@ -163,6 +163,9 @@ def ranked(order: str) -> str:
 VISITS = """select uid, app_id, device_id, ip, last_page_id, page_id, next_page_id from page_events
             where last_page_id <> '' and page_id <> '' and next_page_id <> ''"""
 HITS = "select page_id, count(*) as num from visits group by page_id"
+FUNNEL_RATES = """select h.page_id, h.num, case when h.page_id = '1' then '100%' when h.page_id in ('2', '3') then
+                  cast(cast(round_even(coalesce(h.num / e.num, 0) * 100, 0) as bigint) as string) || '%' end as jump_rate
+                  from hits h left join hits e on cast(e.page_id as int) = cast(h.page_id as int) - 1"""
 ADDRESS = """cast(split_part(ip, '.', 1) as bigint) * 16777216 + cast(split_part(ip, '.', 2) as bigint) * 65536
              + cast(split_part(ip, '.', 3) as bigint) * 256 + cast(split_part(ip, '.', 4) as bigint)"""
 PROVINCES = f"""select province, count(*) as num from (select {ADDRESS} as address from visits) v
@@ -374,6 +377,14 @@ def all_oracles() -> dict[str, str]:
                 from (select *, {BAND} as score_segment from answers) t
                 group by paperviewid, paperviewname, score_segment, dt, dn, {part_of('userid', 4)}"""
         ),
+        paper_segments_dealt=answers_sql(
+            f"""select paperviewid, paperviewname, score_segment, cast(({part_of('userid', 3)} + copy) % 3 as int) as part,
+                       string_agg(cast(userid as string), ',' order by cast(userid as string)) as userids, dt, dn
+                from (select *, row_number() over (
+                          partition by paperviewid, paperviewname, score_segment, dt, dn, userid) - 1 as copy
+                      from (select *, {BAND} as score_segment from answers) b) t
+                group by all"""
+        ),
         paper_segment_users=answers_sql(
             f"""select paperviewid, paperviewname, score_segment, dt, dn, userid, count(*) as copies
                 from (select *, {BAND} as score_segment from answers) t
@@ -459,13 +470,13 @@ def all_oracles() -> dict[str, str]:
             "select last_page_id, page_id, next_page_id, count(*) as num from visits "
             "group by last_page_id, page_id, next_page_id"
         ),
-        page_funnel=pages_sql(
-            """select h.page_id, h.num, case when h.page_id = '1' then '100%' when h.page_id in ('2', '3') then
-                      cast(cast(round_even(coalesce(h.num / e.num, 0) * 100, 0) as bigint) as string) || '%' end
-                      as jump_rate
-               from hits h left join hits e on cast(e.page_id as int) = cast(h.page_id as int) - 1""",
+        page_topic=pages_sql(
+            f"""select last_page_id, page_id, next_page_id, count(*) as num, cast(null as varchar) as jump_rate
+                from visits group by last_page_id, page_id, next_page_id
+                union all select null, page_id, null, num, jump_rate from ({FUNNEL_RATES}) f""",
             hits=HITS,
         ),
+        page_funnel=pages_sql(FUNNEL_RATES, hits=HITS),
         province_counts=pages_sql(PROVINCES, "ip_ranges"),
         province_detail=pages_sql(PROVINCES, "ip_ranges"),
         province_top3=pages_sql(

@@ -419,6 +419,17 @@ def page_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page steps, and page counts with funnel rates, of one job; the latter have one page."""
+    def result(s, root):
+        steps, rates = jobs.pages_now(s, root)
+        none = F.lit(None).cast("string")
+        pages_only = rates.select(none.alias("last_page_id"), "page_id", none.alias("next_page_id"), "num", "jump_rate")
+        return steps.select(*jobs.STEP_KEY, "num", none.alias("jump_rate")).union(pages_only)
+
+    return run_job(spark, sf_dir, "page_topic", "page_events", json_lines, jobs.track_pages, result)
+
+
 def page_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_steps(streams.page_visits(json_lines(shape(spark, sf_dir, "page_events"))))
 
@@ -498,6 +509,7 @@ def all_queries() -> dict[str, Query]:
         paper_top3=paper_query(paper_reports.best_answers),
         paper_low3=paper_query(paper_reports.worst_answers),
         paper_segments=paper_query(paper_reports.band_users, ordered=True, parts=4),
+        paper_segments_dealt=paper_query(paper_reports.band_users, parts=3, dealt=True),
         paper_segment_users=paper_query(paper_reports.band_user_counts),
         paper_pass_rate=paper_query(paper_reports.pass_rates),
         question_error_rate=paper_query(paper_reports.error_rates, ordered=True),
@@ -514,6 +526,7 @@ def all_queries() -> dict[str, Query]:
         page_hits=page_hits,
         page_steps=page_steps,
         page_funnel=page_funnel,
+        page_topic=page_topic,
         province_counts=province_counts,
         province_totals=province_totals,
         province_detail=province_job("tmp_city_num_detail"),

@@ -72,6 +72,17 @@ def test_long_lists_are_split_without_loss(spark):
     assert [r.ids for r in lists if r.g == "cold"] == ["1,1"]
 
 
+def test_copies_of_one_value_go_round_the_parts(spark):
+    data = [("hot", 9999, 700), ("hot", 1, 2), ("hot", None, 5), ("cold", 1, 1)]
+    counted = spark.createDataFrame(data, "g string, v int, copies bigint")
+    lists = text_lists(counted, ["g"], "v", "ids", parts=7, dealt=True).collect()
+    hot = sorted(i for r in lists if r.g == "hot" for i in r.ids.split(",") if i)
+    assert hot == sorted(["9999"] * 700 + ["1"] * 2) and len([r for r in lists if r.g == "hot"]) == 7
+    assert max(r.ids.split(",").count("9999") for r in lists) == 100
+    assert [r.ids for r in lists if r.g == "cold"] == ["1"]
+    assert rows(text_lists(counted.limit(0), ["g"], "v", "ids", parts=7, dealt=True)) == []
+
+
 def test_missing_scores_rank_lowest(spark):
     names = [c for c in RANKED_COLUMNS if c != "rk"]
     data = [{**dict.fromkeys(names, "x"), "userid": n, "paperviewid": 1, "score": s} for n, s in enumerate([None, 1, 2, 2, 3])]

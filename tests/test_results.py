@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_streams import COVERAGE, Feed, brute_force, ip_ranges, page_line, parsed, quiz_lines, watch_lines
 
-from tutorlake.operators import learners, watching
+from tutorlake.operators import learners, pages, watching
 from tutorlake.session import stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.tables import read_version, versions
@@ -186,3 +186,53 @@ def test_update_time_is_that_of_the_last_change(spark, feed):
     feed.run(jobs.track_mastery, updatetime=True)
     second = {r["userid"]: r["updatetime"] for r in jobs.mastery_now(spark, feed.root).collect()}
     assert second[1] > first[1] and second[2] == first[2]
+
+
+def page_batches():
+    first = [page_line(1, 0, 2, "0.1.0.1")] * 5 + [page_line(2, 1, 3, "0.1.0.2")] * 4 + ["{bad"]
+    second = [page_line(3, 2, 4, "0.2.0.1")] * 3 + [page_line(2, 1, 3, "0.9.0.1"), page_line(7, 7, 7, "0.1.0.1")]
+    return first, second, [page_line(1, 0, 2, "0.1.0.1")] * 5
+
+
+def test_pages_by_what_a_batch_changes(spark, feed):
+    for texts in page_batches():
+        feed.add(texts)
+        feed.run(jobs.track_pages)
+        steps, rates = jobs.pages_now(spark, feed.root)
+        visits = streams.page_visits(feed.batch(spark))
+        assert rows(steps, *jobs.STEP_KEY, "num") == rows(pages.page_steps(visits), *jobs.STEP_KEY, "num")
+        assert rows(rates, "page_id", "num", "jump_rate") == rows(pages.funnel(pages.page_hits(visits)))
+    assert dict(rows(rates, "page_id", "jump_rate"))["2"] == "50%"
+    written = [
+        spark.read.parquet(f"{feed.root}/page_steps_detail/changes/batch={n}").count()
+        for n in sinks.change_batches(spark, feed.root, "page_steps_detail")
+    ]
+    assert written == [2, 3, 1]
+
+
+def test_a_batch_reads_the_slots_of_its_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_SLOT", 100)
+    touched = spark.createDataFrame([(5, 1), (None, 1), (77, 1)], "k int, n int")
+    files = {}
+    for size in (500, 5000):
+        root = f"{tmp_path}/{size}"
+        values = spark.range(size).select(F.col("id").alias("k"), F.col("id").cast("int").alias("n"))
+        values = values.union(spark.createDataFrame([(None, -1)], "k bigint, n int"))
+        sinks.upsert_table(root, "t", ["k"], fold_every=1)(values, 0)
+        base = sinks.in_slots(read_version(spark, root, "t/base"), ["k"], touched)
+        files[size] = base.select(F.input_file_name()).distinct().count()
+        assert int(base.select("of_slots").first()[0]) == size // 100 + 1
+        assert rows(sinks.known_keys(spark, root, "t", ["k"], touched, 1), "k", "n") == [(5, 5), (77, 77), (None, -1)]
+        sinks.add_to_table(root, "t", ["k"], ["n"], touched, 1, fold_every=1)
+        assert sinks.current(spark, root, "t", ["k"]).columns == ["k", "n"]
+        after = sinks.current(spark, root, "t", ["k"]).where("k in (5, 6, 77) or k is null")
+        assert rows(after, "k", "n") == [(5, 6), (6, 6), (77, 78), (None, 0)]
+        assert sinks.current(spark, root, "t", ["k"]).count() == size + 1
+    assert max(files.values()) <= 3
+
+
+def test_an_empty_table_is_folded(spark, tmp_path):
+    root = str(tmp_path)
+    for stamp in range(2):
+        sinks.upsert_table(root, "t", ["k"], fold_every=1)(spark.createDataFrame([], VALUE), stamp)
+        assert rows(sinks.current(spark, root, "t", ["k"])) == []

@@ -34,6 +34,7 @@ STREAM_JOBS = {
     "archive": (jobs.archive, "page_topic"),
     "register-topic": (jobs.track_registrations, "register_topic"),
     "course-learn": (jobs.track_course_learn, "course_learn"),
+    "page-topic": (jobs.track_pages, "page_topic"),
 }
 
 

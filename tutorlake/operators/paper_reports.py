@@ -76,9 +76,14 @@ def band_user_counts(answers: DataFrame, day: str | None = None) -> DataFrame:
     return banded.groupBy(*BAND_KEY, "userid").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def band_users(answers: DataFrame, day: str | None = None, parts: int = 1, ordered: bool = False) -> DataFrame:
-    """User ids per paper and score band as comma-separated text, one id per answer, in ``parts`` parts."""
-    lists = text_lists(band_user_counts(answers, day), BAND_KEY, "userid", "userids", parts)
+def band_users(
+    answers: DataFrame, day: str | None = None, parts: int = 1, ordered: bool = False, dealt: bool = False
+) -> DataFrame:
+    """User ids per paper and score band as comma-separated text, one id per answer, in ``parts`` parts.
+
+    ``dealt``, the answers of one user go round the parts too; see :func:`tutorlake.operators.lists.text_lists`.
+    """
+    lists = text_lists(band_user_counts(answers, day), BAND_KEY, "userid", "userids", parts, dealt)
     return lists.orderBy("paperviewid", "score_segment", "part") if ordered else lists
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,12 +113,13 @@ def write_load(rows: DataFrame, root: str, table: str, load: str, partitions: li
     )
 
 
-def write_version(rows: DataFrame, root: str, table: str, version: int) -> None:
+def write_version(rows: DataFrame, root: str, table: str, version: int, partitions: Sequence[str] = ()) -> None:
     """A whole new version of a table that is read while it is being replaced.
 
     Readers keep the highest complete version; writing the same version again replaces it.
     """
-    rows.write.mode("overwrite").parquet(f"{root}/{table}/version={version:012d}")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions)
+    writer.parquet(f"{root}/{table}/version={version:012d}")
 
 
 def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:

@@ -19,7 +19,7 @@ from tutorlake.operators.learners import (
     registrations_in_window,
     with_platform,
 )
-from tutorlake.operators.pages import add_counts, funnel, page_hits, page_steps, province_counts, top_provinces
+from tutorlake.operators.pages import FUNNEL, add_counts, funnel, page_hits, page_steps, province_counts, top_provinces
 from tutorlake.operators.watching import VIDEO, batch_coverage, learn_time
 from tutorlake.sources.streams import page_visits, quiz_answers, registrations, watch_events
 from tutorlake.sources.tables import drop_versions, read_version, write_version
@@ -39,6 +39,7 @@ from tutorlake.streaming.sinks import (
 WINDOW_KEY = ["window_start", "app_name"]
 LEARN_KEY = ["dimension", "key"]
 QUESTION = [*TOPIC, "questionid"]
+STEP_KEY = ["last_page_id", "page_id", "next_page_id"]
 
 
 def count_registrations(lines: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -186,6 +187,37 @@ def count_pages(lines: DataFrame, root: str, checkpoint: str, every: str | None
     return start(page_steps(page_visits(lines)), together(root, "pages", write), root, "pages", checkpoint, "complete", every)
 
 
+def track_pages(lines: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Visits by page steps, per page, and funnel rates, of which a batch writes what it changes.
+
+    The tables are the state, as in :func:`track_registrations`. Rates are worked out for the pages of the batch and
+    those of the funnel, which may follow one of them. Read them with :func:`pages_now`.
+    """
+
+    def write(batch: DataFrame, stamp: int) -> None:
+        spark = batch.sparkSession
+        steps = page_steps(batch).persist()
+        try:
+            hits = steps.groupBy("page_id").agg(F.sum("num").alias("num"))
+            add_to_table(root, "page_steps_detail", STEP_KEY, ["num"], steps, stamp)
+            add_to_table(root, "page_hits_detail", ["page_id"], ["num"], hits, stamp)
+            pages = hits.select("page_id").union(spark.createDataFrame([(page,) for page in FUNNEL], "page_id string"))
+            # The values after this batch are those before the next.
+            counted = known_keys(spark, root, "page_hits_detail", ["page_id"], pages, stamp + 1)
+            upsert_table(root, "page_jump_detail", ["page_id"])(funnel(counted), stamp)
+        finally:
+            steps.unpersist()
+
+    return start(page_visits(lines), together(root, "page-topic", write), root, "page-topic", checkpoint, "append", every)
+
+
+def pages_now(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Page steps, and page counts with funnel rates, of the last batch that is written as a whole."""
+    upto = last_commit(spark, root, "page-topic")
+    steps = current(spark, root, "page_steps_detail", STEP_KEY, upto)
+    return steps, current(spark, root, "page_jump_detail", ["page_id"], upto)
+
+
 def count_page_hits(lines: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Visits per page: table ``page_hits``."""
     return start(page_hits(page_visits(lines)), replace_table(root, "page_hits"), root, "page-hits", checkpoint, "complete", every)

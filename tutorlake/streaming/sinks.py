@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,6 +33,11 @@ from tutorlake.sources.tables import (
 BatchWriter = Callable[[DataFrame, int], None]
 KEPT = 3
 FOLD_EVERY = 20
+# A base is cut into slots by a hash of the keys, of about this many rows each, so that a batch reads the slots
+# of its keys only. There are no more than MOST_SLOTS folders; beyond that the slots get larger.
+ROWS_PER_SLOT = 1_000_000
+MOST_SLOTS = 4096
+SLOTS = ["of_slots", "in_slot"]
 # Batches that one generation can number.
 GENERATION = 1_000_000_000
 
@@ -129,11 +134,35 @@ def _newest_generation(spark: SparkSession, root: str, table: str, upto: int | N
     return [n for n in bases if n >= first], [n for n in changes if n >= first]
 
 
-def current(spark: SparkSession, root: str, table: str, keys: list[str], upto: int | None = None) -> DataFrame:
-    """The newest values of each key: the last compacted base and the complete changes since, up to batch ``upto``."""
+def _slot(keys: list[str], slots: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
+
+
+def in_slots(base: DataFrame, keys: list[str], among: DataFrame) -> DataFrame:
+    """The slots of a base that can hold the keys in ``among``. Their numbers, at most ``MOST_SLOTS``, are collected."""
+    first = base.select(SLOTS[0]).first() if SLOTS[0] in base.columns else None
+    if first is None:
+        return base
+    slots = int(first[0])
+    # The hash depends on the type.
+    typed = among.select(*[F.col(k).cast(base.schema[k].dataType).alias(k) for k in keys])
+    met = [row[0] for row in typed.select(_slot(keys, slots)).distinct().collect()]
+    return base if len(met) == slots else base.where(F.col(SLOTS[1]).cast("int").isin(met))
+
+
+def current(
+    spark: SparkSession, root: str, table: str, keys: list[str], upto: int | None = None, among: DataFrame | None = None
+) -> DataFrame:
+    """The newest values of each key: the last compacted base and the complete changes since, up to batch ``upto``.
+
+    With ``among``, values of keys that are not in it may be missing, and files of the base that hold no such keys are
+    not read.
+    """
     bases, changed = _newest_generation(spark, root, table, upto)
     base_version = bases[-1] if bases else None
     base = None if base_version is None else read_version(spark, root, f"{table}/base", before=base_version + 1)
+    if base is not None:
+        base = (base if among is None else in_slots(base, keys, among)).drop(*SLOTS)
     newer = [n for n in changed if base_version is None or n > base_version]
     if not newer:
         if base is None:
@@ -156,7 +185,7 @@ def known_keys(spark: SparkSession, root: str, table: str, keys: list[str], touc
         return None
     wanted = touched.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return current(spark, root, table, keys, stamp - 1).join(wanted, same, "left_semi")
+    return current(spark, root, table, keys, stamp - 1, touched).join(wanted, same, "left_semi")
 
 
 def add_to_table(
@@ -190,13 +219,25 @@ def compact(spark: SparkSession, root: str, table: str, keys: list[str]) -> None
     if not batches or batches[-1] <= before:
         return
     # Changes of a generation before are not folded in; they go with the next fold.
-    write_version(current(spark, root, table, keys), root, f"{table}/base", batches[-1])
+    rows, stored = current(spark, root, table, keys), _rows_stored(spark, root, table)
+    slots = min(-(-stored // ROWS_PER_SLOT), MOST_SLOTS)
+    if slots > 1:
+        rows = rows.withColumn(SLOTS[0], F.lit(slots)).withColumn(SLOTS[1], _slot(keys, slots)).hint("rebalance", SLOTS[1])
+    write_version(rows, root, f"{table}/base", batches[-1], SLOTS if slots > 1 else ())
     drop_versions(spark, root, f"{table}/base", keep=2)
     for batch in batches:
         if batch <= before:
             drop_folder(spark, f"{root}/{table}/changes/batch={batch}")
 
 
+def _rows_stored(spark: SparkSession, root: str, table: str) -> int:
+    """An upper bound of the keys of a table, from the footers of its files."""
+    bases, changed = _newest_generation(spark, root, table, None)
+    paths = [f"{root}/{table}/base/version={n:012d}" for n in bases[-1:]]
+    paths += [f"{root}/{table}/changes/batch={n}" for n in changed if not bases or n > bases[-1]]
+    return sum(spark.read.parquet(path).count() for path in paths)
+
+
 def start(
     stream: DataFrame,
     writer: BatchWriter,
