@@ -22,7 +22,7 @@ from tutorlake.session import fresh_dir, stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.lines import json_objects
 from tutorlake.sources.logs import LOGS, clean
-from tutorlake.sources.tables import drop_folder, read_table, read_version, settle, spread, write_load
+from tutorlake.sources.tables import drop_folder, read_table, read_version, settle, write_load
 from tutorlake.sources.views import VIEWS, view
 from tutorlake.streaming import jobs
 from tutorlake.streaming.sinks import current
@@ -36,6 +36,15 @@ SCHEMAS: dict[str, T.StructType] = {}
 FACT_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table stored in fewer pieces than there are cores, spread over all cores.
+
+    A table of many files already has a task per piece and is returned as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A whole table. The given facts are single files with one row group, so a single task unless spread."""
     path = f"{sf_dir}/{table}.parquet"

@@ -5,7 +5,7 @@ import json
 import pytest
 from conftest import rows
 
-from tutorlake.__main__ import parse, run
+from tutorlake.__main__ import DAY_JOBS, parse, run
 from tutorlake.sources.tables import read_table, read_version
 from tutorlake.streaming import jobs
 
@@ -36,6 +36,18 @@ def test_provinces_and_archive(spark, tmp_path):
     assert spark.read.text(f"{root}/archive").count() == 1
 
 
+def test_options_of_day_jobs(monkeypatch):
+    asked = []
+    monkeypatch.setitem(DAY_JOBS, "quiz-reports", lambda *args, **named: asked.append((args[1:], named)))
+    monkeypatch.setitem(DAY_JOBS, "member-day", lambda *args, **named: asked.append((args[1:], named)))
+    run(parse(["quiz-reports", "--root", "r", "--day", "20190722", "--parts", "4", "--dealt", "--keep-all"]))
+    run(parse(["member-day", "--root", "r", "--day", "20190722", "--last-day", "20190724"]))
+    assert asked == [
+        (("r", "20190722"), {"parts": 4, "dealt": True, "keep_all": True}),
+        (("r", "20190722"), {"last_day": "20190724"}),
+    ]
+
+
 def test_a_stream_needs_one_source():
     with pytest.raises(SystemExit):
         parse(["mastery", "--root", "x"])
@@ -52,9 +64,10 @@ def test_jobs_that_write_several_tables(spark, tmp_path):
     learned.mkdir()
     event = {"uid": 1, "cwareid": 2, "videoid": 3, "ts": 0, "te": 5000, "ps": 0, "pe": 5, "chapterid": 1, "sourceType": "pc"}
     (learned / "a.txt").write_text(json.dumps(event) + "\n")
-    run(parse(["course-learn", "--folder", str(learned), "--root", root]))
+    run(parse(["course-learn", "--folder", str(learned), "--root", root, "--unit-ms", "sourcetype_learn_detail=100"]))
     coverage, times = jobs.course_learn_now(spark, root)
     assert rows(coverage, "totaltime", "play_interval") == [(5, "0-5")] and times.count() == 5
+    assert rows(times.where("dimension = 'sourcetype_learn_detail'"), "totaltime") == [(50,)]
     (folder / "a.txt").write_text("1\t1\t1\tq1\t1\t2024-01-02\n")
     run(parse(["mastery", "--folder", str(folder), "--root", root, "--updatetime"]))
     assert jobs.mastery_now(spark, root).where("updatetime is not null").count() == 1

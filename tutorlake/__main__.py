@@ -52,6 +52,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job = names.add_parser(name)
         job.add_argument("--root", required=True)
         job.add_argument("--day", required=True, help="yyyyMMdd")
+        if name in ("member-day", "member-zipper"):
+            job.add_argument("--last-day", help="add the payments of all days up to this one, yyyyMMdd")
+        if name in ("quiz-day", "quiz-reports"):
+            job.add_argument("--parts", type=int, default=1, help="parts of the list of users in a score band")
+            job.add_argument("--dealt", action="store_true", help="deal the answers of one user over the parts too")
+            job.add_argument("--keep-all", action="store_true", help="rates of all papers and questions")
 
     for name, (_, topic) in STREAM_JOBS.items():
         job = names.add_parser(name)
@@ -71,6 +77,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--event-time", action="store_true", help="count at the event's own time, not on arrival")
         if name == "registration-windows":
             job.add_argument("--lateness", help="forget windows after this time; later rows are left out")
+        if name in ("learn-time", "course-learn"):
+            job.add_argument(
+                "--unit-ms", nargs="*", default=[], metavar="DIMENSION=MS", help="unit of one dimension's learning time"
+            )
         if name == "provinces":
             job.add_argument("--ranges", required=True, help="table of address ranges: lo, hi, province")
 
@@ -88,7 +98,8 @@ def run(options: argparse.Namespace) -> None:
     if options.job == "clean":
         clean_logs(spark, options.logs, options.root, options.tables, options.load)
     elif options.job in DAY_JOBS:
-        DAY_JOBS[options.job](spark, options.root, options.day)
+        chosen = {k: v for k, v in vars(options).items() if k in ("last_day", "parts", "dealt", "keep_all")}
+        DAY_JOBS[options.job](spark, options.root, options.day, **chosen)
     elif options.job == "publish":
         lines = read_lines(spark, options.file)
         if options.servers:
@@ -118,6 +129,8 @@ def start_stream(spark, options: argparse.Namespace) -> None:
     if options.job in ("registration-windows", "register-topic"):
         named |= {"length": options.length, "slide": options.slide}
         named["time"] = event_time() if options.event_time else None
+    if options.job in ("learn-time", "course-learn"):
+        named["unit_ms"] = {key: int(ms) for key, _, ms in (unit.partition("=") for unit in options.unit_ms)}
     checkpoint = f"{options.root}/checkpoints/{options.job}"
     job(lines, *more, options.root, checkpoint, every=options.every, **named).awaitTermination()
 

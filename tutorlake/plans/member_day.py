@@ -69,7 +69,8 @@ def report_members(spark: SparkSession, root: str, day: str) -> None:
     write_table(top_payers(members), root, "ads_register_top3memberpay", PARTITIONS)
 
 
-def member_day(spark: SparkSession, root: str, day: str) -> None:
+def member_day(spark: SparkSession, root: str, day: str, last_day: str | None = None) -> None:
+    """The wide table and reports of ``day``, and the payment history of the days up to ``last_day``."""
     build_members(spark, root, day)
-    update_history(spark, root, day)
+    update_history(spark, root, day, last_day)
     report_members(spark, root, day)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tutorlake.operators import paper_reports, quiz_wide
@@ -42,22 +44,29 @@ def build_quiz(spark: SparkSession, root: str, day: str) -> None:
     write_table(answers, root, DETAIL, PARTITIONS)
 
 
-def report_quiz(spark: SparkSession, root: str, day: str) -> None:
-    """All quiz reports of the day. Each reads only its own columns of the day's partitions."""
+def report_quiz(
+    spark: SparkSession, root: str, day: str, parts: int = 1, dealt: bool = False, keep_all: bool = False
+) -> None:
+    """All quiz reports of the day. Each reads only its own columns of the day's partitions.
+
+    ``parts`` and ``dealt`` go to the user lists, ``keep_all`` to both rates.
+    """
     answers = read_table(spark, root, DETAIL)
     reports = {
         "ads_paper_avgtimeandscore": paper_reports.paper_averages,
         "ads_paper_maxdetail": paper_reports.paper_extremes,
         "ads_top3_userdetail": paper_reports.best_answers,
         "ads_low3_userdetail": paper_reports.worst_answers,
-        "ads_paper_scoresegment_user": paper_reports.band_users,
-        "ads_user_paper_detail": paper_reports.pass_rates,
-        "ads_user_question_detail": paper_reports.error_rates,
+        "ads_paper_scoresegment_user": partial(paper_reports.band_users, parts=parts, dealt=dealt),
+        "ads_user_paper_detail": partial(paper_reports.pass_rates, keep_all=keep_all),
+        "ads_user_question_detail": partial(paper_reports.error_rates, keep_all=keep_all),
     }
     for table, report in reports.items():
         write_table(report(answers, day), root, table, PARTITIONS)
 
 
-def quiz_day(spark: SparkSession, root: str, day: str) -> None:
+def quiz_day(
+    spark: SparkSession, root: str, day: str, parts: int = 1, dealt: bool = False, keep_all: bool = False
+) -> None:
     build_quiz(spark, root, day)
-    report_quiz(spark, root, day)
+    report_quiz(spark, root, day, parts, dealt, keep_all)

@@ -88,15 +88,6 @@ def write_table(rows: DataFrame, root: str, table: str, partitions: list[str]) -
     )
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a table stored in fewer pieces than there are cores, spread over all cores.
-
-    A table of many files already has a task per piece and is returned as it is, without a shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
-
-
 def write_load(rows: DataFrame, root: str, table: str, load: str, partitions: list[str]) -> None:
     """Replace one load of a table, whole, and leave all other loads as they are.
 
