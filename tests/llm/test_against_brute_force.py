@@ -196,6 +196,33 @@ def test_divergence(spark):
         assert got == pytest.approx(math.sqrt(max(want, 0)), abs=1e-9)
 
 
+def test_every_language_is_compared(spark):
+    def row(k, n, lang):
+        return k, " ".join(w.strip(",.\n") for w in prose(k, n).split()) + ".", lang
+
+    rows = [row(k, 400, "xx") for k in range(80)] + [row(100 + k, 300, None) for k in range(40)] + [row(200, 150, "rare")]
+    rows += [(300, " ".join(str(1000 + 7 * k) for k in range(60)), "xx"), (301, "QRS TUV " * 4 + "A B C D E F G H I J K L", None), (302, "1 2 3 4 5 6 7 8 9 0 1 2", "xx")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.judge(frame).collect()}
+    assert all(r["word_distance"] is None for r in got.values())
+    classes = ("[A-Z]", "[0-9]", "[.!?…]", "[,;:]")
+
+    def histogram(text):
+        rare = [len(re.findall(c, text)) for c in classes] + [0]
+        return np.array([*rare, sum(map(len, text.split())) - sum(rare)], float)
+
+    assert sum(histogram(t).sum() for _, t, lang in rows if lang == "xx") >= quality.REFERENCE_CHARS
+    for key, text, lang in rows:
+        mine, usual = histogram(text), sum(histogram(t) for _, t, x in rows if lang != "xx" or x == "xx")
+        p, q = mine / mine.sum(), usual / usual.sum()
+        far = math.sqrt(sum(0.5 * x * math.log2(2 * x / (a + b)) for a, b in zip(p, q) for x in (a, b) if x > 0))
+        found = got[key]["class_distance"]
+        assert (found is None) == (mine.sum() < quality.GUARD_CHARS)
+        assert found is None or found == pytest.approx(far, abs=1e-6)
+    assert not got[300]["kept"] and not got[300]["base_failed"] and got[0]["kept"] and got[100]["kept"] and got[200]["kept"]
+    assert got[302]["kept"] and not got[302]["base_failed"]  # too short for either distance
+
+
 # SimHash ---------------------------------------------------------------------------------------
 
 
@@ -387,6 +414,31 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.matches(documents, benchmark).collect()} >= {
         (k, k) for k, _ in items
     }
+    documents = documents.union(spark.createDataFrame([(77, prose(77, 15)), (78, None)], documents.schema))
+    assert {r["doc_id"] for r in decontamination.clean(documents, benchmark).collect()} == {77, 78}
+
+
+def test_short_items_are_found_at_whole_words(spark, texts):
+    items = [(1, "one"), (2, "Kan"), (3, "ra, st"), (4, "ñandú 中文"), (5, "ab ab ab ab"), (6, "an"), (7, "kan"), (8, " .,"), (9, None)]
+    items += [(10 + n, " ".join(prose(100 + n, 30).split()[3 : 4 + n % 4])) for n in range(16)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.matches(documents, benchmark).collect()
+    plain, bodies = decontamination.plain, Counter(texts)
+    want = Counter()
+    for (key, text), times in bodies.items():
+        for number, item in items:
+            if plain(item) and f" {plain(item)} " in f" {plain(text)} ":
+                want[key, number] += times
+    assert Counter((r["doc_id"], r["item_id"]) for r in found) == want and len(want) > 20
+    by_key = dict(texts)
+    for r in found:
+        if r["doc_id"] != 48:
+            assert plain(by_key[r["doc_id"]][r["start"] : r["end"]]) == plain(dict(items)[r["item_id"]])
+    # Short items let no document go, unless that is asked for.
+    assert decontamination.clean(documents, benchmark).count() == len(texts)
+    gone = decontamination.clean(documents, benchmark, min_words=1).count()
+    assert gone == sum(n for (k, t), n in bodies.items() if not any(f" {plain(i)} " in f" {plain(t)} " for _, i in items if plain(i)))
 
 
 # Toxicity --------------------------------------------------------------------------------------

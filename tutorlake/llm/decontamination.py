@@ -7,8 +7,9 @@ paired up like the leaves of a tree, and a hit is verified upwards, each pair wi
 edits: by the same pigeonhole argument some piece passes at every level, and chance hits end at the first.
 
 Texts and items are compared in small letters, with every run of white space and ASCII punctuation as one
-space. Items travel to the tasks in blocks of at most ``BLOCK_BYTES``, so a large benchmark takes several
-passes over the documents instead of more memory.
+space. An item of fewer than ``EXACT_BELOW`` words is too short for edits and is looked for as it is, at whole
+words. Items travel to the tasks in blocks of at most ``BLOCK_BYTES``, so a large benchmark takes several
+passes over the documents, one after another, instead of more memory.
 """
 
 from __future__ import annotations
@@ -16,13 +17,18 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tutorlake.sources.tables import drop_folder, settle, stored_paths
+
 RATE = 0.1
+EXACT_BELOW = 5
+# Least words of an item that makes a document go; shorter strings are common in texts that hold no benchmark.
 MIN_WORDS = 5
 BLOCK_BYTES = 4_000_000
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -106,18 +112,22 @@ class Pattern:
 class Searcher:
     """All items of a block, ready to search texts."""
 
-    def __init__(self, items: list[tuple[object, str]], rate: float = RATE, min_words: int = MIN_WORDS) -> None:
+    def __init__(self, items: list[tuple[object, str]], rate: float = RATE, min_words: int = 1) -> None:
         import ahocorasick
 
         self.keys, self.items, self.trees = [], [], []
         self.pieces = ahocorasick.Automaton()
         self.patterns: dict[str, Pattern] = {}
+        self.whole: set[int] = set()
         found: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             item = plain(text)
-            if not item or item.count(" ") + 1 < min_words:
+            words = item.count(" ") + 1
+            if not item or words < min_words:
                 continue
-            tree = cut(item, budget(item, rate))
+            if words < EXACT_BELOW:
+                self.whole.add(len(self.items))
+            tree = cut(item, 0 if words < EXACT_BELOW else budget(item, rate))
             for n, node in enumerate(tree):
                 if not node.errors:
                     found.setdefault(item[node.start : node.end], []).append((len(self.items), n))
@@ -162,7 +172,10 @@ class Searcher:
                 start = end + 1 - size - self.trees[number][leaf].start
                 if number in exact or start in starts.get(number, ()):
                     continue
-                if start >= 0 and body.startswith(self.items[number], start):
+                if number in self.whole:
+                    if (start == 0 or body[start - 1] == " ") and body[end + 1 : end + 2] in ("", " "):
+                        exact[number] = start
+                elif start >= 0 and body.startswith(self.items[number], start):
                     exact[number] = start
                 elif self.passes(body, number, leaf, start, seen):
                     starts.setdefault(number, set()).add(start)
@@ -211,14 +224,17 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     return first or 0, last
 
 
-def item_blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """The items with a text in blocks of about ``BLOCK_BYTES``, dealt by hash; one block may be empty."""
+def item_blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[bool, list[tuple[object, str]]]]:
+    """The items with a text in blocks of about ``BLOCK_BYTES``, dealt by hash, and whether more follow.
+
+    One block may be empty. A block is read when it is asked for, so only one is held at a time.
+    """
     usable = benchmark.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
     size = usable.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     for block in range(blocks):
         part = usable.where(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == block)
-        yield [tuple(r) for r in part.collect()]
+        yield block + 1 < blocks, [tuple(r) for r in part.collect()]
 
 
 def matches(
@@ -229,13 +245,14 @@ def matches(
     item_key: str = "item_id",
     item_text: str = "text",
     rate: float = RATE,
-    min_words: int = MIN_WORDS,
+    min_words: int = 1,
 ) -> DataFrame:
     """``(key, item_key, distance, start, end)``: each item that a document holds, at its best place.
 
     ``start`` and ``end`` are characters of the text, at whole words. Items of fewer than ``min_words``
-    words, null items and null texts match nothing; an item listed twice is found twice, a repeated row
-    has its own matches.
+    words, empty or null items and null texts match nothing; an item listed twice is found twice, a repeated row
+    has its own matches. Of several blocks of items, each but the last is matched and its result written before the
+    next one is read.
     """
     schema = T.StructType(
         [
@@ -245,7 +262,7 @@ def matches(
         ]
     )
     found = []
-    for items in item_blocks(benchmark, item_key, item_text):
+    for more, items in item_blocks(benchmark, item_key, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(items, rate, min_words)
@@ -266,11 +283,9 @@ def matches(
                     names=[f.name for f in schema.fields],
                 )
 
-        found.append(documents.select(key, text).mapInArrow(run, schema))
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.union(more)
-    return whole
+        hits = documents.select(key, text).mapInArrow(run, schema)
+        found.append(settle(hits, "benchmark-hits") if more else hits)
+    return reduce(DataFrame.union, found)
 
 
 def clean(
@@ -284,10 +299,12 @@ def clean(
 ) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns; a null text is kept.
 
-    Items are looked for in each document where it stands, so nothing is joined or shuffled.
+    Items of fewer than ``min_words`` words, such as names and numbers, let no document go. Items are looked for in
+    each document where it stands, so nothing is joined or shuffled. Of several blocks of items, each but the last
+    has its rest written, and the rest before it deleted, before the next one is read.
     """
-    left = documents
-    for items in item_blocks(benchmark, item_key, item_text):
+    left, written = documents, ""
+    for more, items in item_blocks(benchmark, item_key, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(items, rate, min_words)
@@ -296,6 +313,12 @@ def clean(
                 yield batch.filter(pa.array([not searcher.search(x) for x in bodies], pa.bool_()))
 
         left = left.mapInArrow(run, documents.schema)
+        if more:
+            with stored_paths() as paths:
+                left = settle(left, "benchmark-rest")
+            if written:
+                drop_folder(documents.sparkSession, written)
+            written = paths[0]
     return left
 
 

@@ -3,7 +3,10 @@
 Written in DataFrame functions alone. Words are runs of anything but ASCII white space, as in
 ``[^\\x20\\x09-\\x0D]+``. A text is compared with its language on two histograms, of character classes
 and of common words, by Jensen-Shannon distance (base 2, so from 0 to 1). A language's reference is
-the sum of the histograms of all its texts. A text too short for a steady histogram is not compared.
+the sum of the histograms of all its texts. Character classes are summed for every language found; texts
+without a language, or of one with too little text for a reference, are compared with all texts together.
+Common words are known for the languages of ``COMMON_WORDS``. A text too short for a steady histogram is
+not compared; each distance has its own guard, as a histogram of characters is steady sooner.
 """
 
 from __future__ import annotations
@@ -18,8 +21,11 @@ from tutorlake.sources.tables import settle
 WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
-GUARD_CHARS = 500
+# Least length of a text for the distance of classes, in word characters, and for that of words, in words.
+GUARD_CHARS = 200
 GUARD_WORDS = 100
+# Word characters that a language needs for a reference of its own.
+REFERENCE_CHARS = 100_000
 CLASS_LIMIT = 0.3
 WORD_LIMIT = 0.32
 LISTED = 64
@@ -145,21 +151,24 @@ def measure(documents: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     return counted.withColumn("classes", F.concat("classes", F.array(F.greatest(other, F.lit(0))))).drop("rare")
 
 
+def summed(rows: DataFrame, name: str, *by: str) -> DataFrame:
+    """``usual_<name>``: the sum of the histograms of each group, or of all rows, which gives one row."""
+    totals = rows.select(*by, F.posexplode(name).alias("k", "n")).groupBy(*by, "k").agg(F.sum("n").alias("n"))
+    return totals.groupBy(*by).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "n"))), lambda x: x["n"]).alias(f"usual_{name}")
+    )
+
+
 def references(measured: DataFrame, lang: str) -> DataFrame:
-    """One row per language of ``COMMON_WORDS`` with the summed histograms of all its texts."""
-
-    def summed(name: str) -> DataFrame:
-        return (
-            measured.where(F.col(lang).isin(*COMMON_WORDS))
-            .select(lang, F.posexplode(name).alias("k", "n"))
-            .groupBy(lang, "k")
-            .agg(F.sum("n").alias("n"))
-            .groupBy(lang)
-            .agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias(name))
-            .select(F.col(lang).alias("of"), F.transform(name, lambda x: x["n"]).alias(f"usual_{name}"))
-        )
+    """One row per language with its summed histograms; those of words are null without a list of words.
 
-    return summed("classes").join(summed("common"), "of", "left")
+    A language with less than ``REFERENCE_CHARS`` word characters has no row, unless it has a list of words.
+    Then its row has no histogram of classes.
+    """
+    spoken = measured.where(F.col(lang).isNotNull()).withColumnRenamed(lang, "of")
+    enough = F.aggregate("usual_classes", F.lit(0).cast("long"), lambda t, x: t + x) >= REFERENCE_CHARS
+    classes = summed(spoken, "classes", "of").where(enough)
+    return classes.join(summed(spoken.where(F.col("of").isin(*COMMON_WORDS)), "common", "of"), "of", "full")
 
 
 def jensen_shannon(left: Column, right: Column) -> Column:
@@ -176,25 +185,31 @@ def jensen_shannon(left: Column, right: Column) -> Column:
         F.struct(share(left).alias("p"), share(right).alias("q")),
         lambda s: F.zip_with(s["p"], s["q"], lambda p, q: F.when(p.isNotNull() & q.isNotNull(), term(p, q) + term(q, p))),
     )
-    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda t, x: t + x) / 2, F.lit(0.0)))
+    whole = F.aggregate(parts, F.lit(0.0), lambda t, x: t + x) / 2
+    return bound(whole, lambda d: F.sqrt(F.when(d < 0, 0.0).otherwise(d)))
 
 
 def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Counts, distances and verdict per document.
 
-    Null and blank texts have no words and fail. A text of an unknown or null language, or one below
-    the guards of ``GUARD_CHARS`` and ``GUARD_WORDS``, has null distances and is kept if its base
-    rules hold. Repeated rows are judged each by itself. Columns besides the three are not read.
+    Null and blank texts have no words and fail. A text of a null or rare language has the distance of classes
+    to all texts together, and one of a language that is not in ``COMMON_WORDS`` has a null distance of words. A
+    distance is null below its guard, ``GUARD_CHARS`` or ``GUARD_WORDS``, and does not count. Repeated rows are
+    judged each by itself. Columns besides the three are not read.
     """
     measured = settle(measure(documents, key, text, lang), "quality")
-    usual = references(measured, lang)  # at most one short row for each language of COMMON_WORDS
-    long_enough = (F.col("word_chars") >= GUARD_CHARS) & (F.col("n_words") >= GUARD_WORDS)
+    # Languages grow with the input only as far as each has text enough, so the size decides how they are joined.
+    usual = settle(references(measured, lang), "quality-usual")
+    whole = summed(measured, "classes").withColumnRenamed("usual_classes", "all_classes")  # one short row
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     strange = (F.col("class_distance") > CLASS_LIMIT) | (F.col("word_distance") > WORD_LIMIT)
+    class_distance = jensen_shannon(F.col("classes"), F.coalesce("usual_classes", "all_classes"))
+    word_distance = jensen_shannon(F.col("common"), F.col("usual_common"))
     return (
-        measured.join(F.broadcast(usual), F.col(lang) == F.col("of"), "left")
-        .withColumn("class_distance", F.when(long_enough, jensen_shannon(F.col("classes"), F.col("usual_classes"))))
-        .withColumn("word_distance", F.when(long_enough, jensen_shannon(F.col("common"), F.col("usual_common"))))
+        measured.join(usual, F.col(lang) == F.col("of"), "left")
+        .join(F.broadcast(whole), F.lit(True), "left")
+        .withColumn("class_distance", F.when(F.col("word_chars") >= GUARD_CHARS, class_distance))
+        .withColumn("word_distance", F.when(F.col("n_words") >= GUARD_WORDS, word_distance))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False)))
         .select(
@@ -218,15 +233,16 @@ def _sql() -> str:
     languages = ", ".join(f"'{lang}'" for lang in COMMON_WORDS)
     width = max(map(len, COMMON_WORDS.values()))
     classes = ", ".join(f"len(regexp_extract_all(t, '{c}'))" for c in CLASSES)
-    distance = """sqrt(greatest(list_sum(list_transform(range(1, len(p) + 1), lambda k:
+    distance = """list_sum(list_transform(range(1, len(p) + 1), lambda k:
         CASE WHEN p[k] > 0 THEN p[k] * log2(2 * p[k] / (p[k] + q[k])) ELSE 0 END
-        + CASE WHEN q[k] > 0 THEN q[k] * log2(2 * q[k] / (p[k] + q[k])) ELSE 0 END)) / 2, 0))"""
+        + CASE WHEN q[k] > 0 THEN q[k] * log2(2 * q[k] / (p[k] + q[k])) ELSE 0 END)) / 2"""
 
     def shares(counts: str) -> str:
         return f"list_transform({counts}, lambda x: x / list_sum({counts}))"
 
     def apart(left: str, right: str) -> str:
-        return f"(SELECT {distance} FROM (SELECT {shares(left)} AS p, {shares(right)} AS q))"
+        both = f"SELECT {shares(left)} AS p, {shares(right)} AS q"
+        return f"(SELECT sqrt(CASE WHEN d < 0 THEN 0 ELSE d END) FROM (SELECT {distance} AS d FROM ({both})))"
 
     return f"""
 WITH words AS (
@@ -260,21 +276,26 @@ WITH words AS (
 ), usual AS (
     SELECT lang, list(c ORDER BY k) AS usual_classes FROM (
         SELECT lang, k, sum(classes[k]) AS c FROM histograms, range(1, {len(CLASSES) + 3}) r(k)
-        WHERE lang IN ({languages}) GROUP BY lang, k) GROUP BY lang
+        WHERE lang IS NOT NULL GROUP BY lang, k) GROUP BY lang HAVING sum(c) >= {REFERENCE_CHARS}
+), whole AS (
+    SELECT list(c ORDER BY k) AS all_classes FROM (
+        SELECT k, sum(classes[k]) AS c FROM histograms, range(1, {len(CLASSES) + 3}) r(k) GROUP BY k)
 ), usual_words AS (
     SELECT lang, list(c ORDER BY k) AS usual_common FROM (
         SELECT lang, k, sum(common[k]) AS c FROM histograms, range(1, {width + 2}) r(k)
         WHERE lang IN ({languages}) GROUP BY lang, k) GROUP BY lang
+), nearest AS (
+    SELECT h.*, usual_common, coalesce(usual_classes, all_classes) AS usual_classes
+    FROM histograms h LEFT JOIN usual USING (lang) LEFT JOIN usual_words USING (lang) LEFT JOIN whole ON true
 ), compared AS (
-    SELECT h.*, word_chars >= {GUARD_CHARS} AND n_words >= {GUARD_WORDS} AS long_enough,
-        n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
-        {apart('classes', 'usual_classes')} AS class_far, {apart('common', 'usual_common')} AS word_far
-    FROM histograms h LEFT JOIN usual USING (lang) LEFT JOIN usual_words USING (lang)
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+        CASE WHEN word_chars >= {GUARD_CHARS} THEN {apart('classes', 'usual_classes')} END AS class_far,
+        CASE WHEN n_words >= {GUARD_WORDS} THEN {apart('common', 'usual_common')} END AS word_far
+    FROM nearest
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND NOT coalesce(long_enough AND (class_far > {CLASS_LIMIT} OR word_far > {WORD_LIMIT}), false) AS kept,
-    CASE WHEN long_enough THEN round(class_far, 6) END AS class_distance,
-    CASE WHEN long_enough THEN round(word_far, 6) END AS word_distance
+    NOT base_failed AND NOT coalesce(class_far > {CLASS_LIMIT} OR word_far > {WORD_LIMIT}, false) AS kept,
+    round(class_far, 6) AS class_distance, round(word_far, 6) AS word_distance
 FROM compared
 """
 
