@@ -321,7 +321,16 @@ def test_archive_and_replay(spark, feed, tmp_path):
     assert rows(spark.read.text(again)) == [("x 1",), ("y 2",), ("z 3",)]
 
 
-def test_longest_event_wins_at_equal_starts():
-    events = np.array([[1, 2, 1, 1], [5, 3, 9, 9], [7, 1, 2, 1]])
-    assert coverage_state.longest_by_start(events).tolist() == [[1, 2], [9, 3], [2, 1]]
-    assert coverage_state.longest_by_start(events[:, :0]).shape == (3, 0)
+def test_a_video_is_one_row_of_ranges(spark):
+    """However many events a video has, Python gets a range per start second, of the longest event there."""
+    data = [(1, 1, 1, n % 7, n % 7 + 1 + n % 3, 0, 1000 * (n % 5), "t") for n in range(5000)] + [(1, 1, 2, 4, 4, 0, 3000, "t")]
+    events = spark.createDataFrame(data, "uid int, cwareid int, videoid int, ps int, pe int, ts long, te long, updatetime string")
+    fresh = watching.batch_coverage(events)
+    assert [(r.videoid, len(r.fresh), r.spent) for r in fresh.orderBy("videoid").collect()] == [(1, 7, 10000), (2, 0, 3)]
+    got = coverage_state.fold_coverage(fresh, None)
+    want = [(1, 1, 1, 0, 9, "0-9"), (1, 1, 2, 0, 0, "")]
+    assert rows(got, *watching.VIDEO, F.col("effecttime") * 0, "completetime", "play_interval") == want
+    again = coverage_state.fold_coverage(fresh, got)
+    assert rows(again, "totaltime", "completetime", "play_interval", "starts") == [(20000, 9, "0-9", [0]), (6, 0, "", [])]
+    assert rows(again, "effecttime") == rows(got, "effecttime")
+    assert rows(coverage_state.fold_coverage(fresh.limit(0), got)) == []

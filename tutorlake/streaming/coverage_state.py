@@ -1,8 +1,8 @@
-"""Watched ranges of each learner and video as streaming state.
+"""Watched ranges of each learner and video, folded batch by batch.
 
-How much of an event is newly covered depends on everything seen before, so this is the one place
-where state is updated by a function of ours. It turns incoming rows into arrays and works on those; a
-frame per learner and video would cost more than the work itself, as most have a few events per batch.
+How much of an event is newly covered depends on everything seen before, so this is the one place where values
+are updated by a function of ours. What a batch brings is reduced by Spark first, to one range per second of a video
+at most, however often it was watched; the function then works on arrays, never on single events.
 The module is sent along with the function, so executors need numpy but no copy of this package.
 """
 
@@ -10,26 +10,21 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from itertools import islice
-from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tutorlake.functions.numbers import whole_units
 from tutorlake.operators.watching import VIDEO
 
-STATE_SCHEMA = "starts array<bigint>, ends array<bigint>, totaltime bigint, effecttime bigint"
 OUTPUT_SCHEMA = (
     "userid bigint, cwareid bigint, videoid bigint, totaltime bigint, effecttime bigint, completetime bigint, "
     "play_interval string"
 )
-CHUNK = 10_000
 
 
 def join_ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,111 +56,68 @@ def newly_covered(
     return (high - low) - (length_below(starts, ends, high) - length_below(starts, ends, low))
 
 
-def longest_by_start(events: np.ndarray) -> np.ndarray:
-    """Of events (rows ``ps``, ``pe``, ``elapsed``), one per start position, in order of position.
-
-    The longest is kept, and of equal ones the one that took longest.
-    """
-    ordered = events[:, np.lexsort(events[::-1])]
-    last = np.append(ordered[0, 1:] != ordered[0, :-1], True)[: ordered.shape[1]]
-    return ordered[:, last]
-
-
-class CoverageProcessor(StatefulProcessor):
-    """Keeps ranges and times of one learner and video, and emits them whenever they change.
-
-    Incoming chunks are reduced to one event per start position as they arrive, so memory depends on
-    the length of the video and not on how many events a batch has for it.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.watched = handle.getValueState("watched", STATE_SCHEMA)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        known_starts, known_ends, total, effective = self.watched.get() or ([], [], 0, 0)
-        starts, ends = np.array(known_starts, "int64"), np.array(known_ends, "int64")
-
-        rows = iter(rows)
-        events = np.empty((3, 0), "int64")
-        while chunk := [(row.ps, row.pe, row.elapsed) for row in islice(rows, CHUNK)]:
-            arrived = np.array(chunk, "int64").T
-            total += int(arrived[2].sum())
-            events = longest_by_start(np.concatenate([events, arrived[:, arrived[1] > arrived[0]]], axis=1))
-        if events.size:
-            ps, pe, elapsed = events
-            fresh = newly_covered(starts, ends, ps, pe)
-            effective += int((elapsed * fresh // (pe - ps)).sum())
-            starts, ends = join_ranges(np.concatenate([starts, ps]), np.concatenate([ends, pe]))
-
-        self.watched.update((starts.tolist(), ends.tolist(), total, effective))
-        text = ",".join(f"{low}-{high}" for low, high in zip(starts.tolist(), ends.tolist()))
-        yield Row(
-            userid=key[0], cwareid=key[1], videoid=key[2], totaltime=total, effecttime=effective,
-            completetime=int((ends - starts).sum()), play_interval=text,
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def tracked_coverage(events: DataFrame) -> DataFrame:
-    """Streaming watched ranges and times per learner and video; only needed columns reach Python."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    needed = events.select(
-        F.col("uid").alias("userid"), "cwareid", "videoid", "ps", "pe",
-        F.coalesce(whole_units(F.col("ts"), F.col("te")), F.lit(0)).alias("elapsed"),
-    )
-    return needed.groupBy(*VIDEO).transformWithState(
-        CoverageProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="None"
-    )
+FOLDED_SCHEMA = f"{OUTPUT_SCHEMA}, updatetime string, starts array<bigint>, ends array<bigint>"
 
 
-FOLDED_SCHEMA = f"{OUTPUT_SCHEMA}, updatetime string, starts array<bigint>, ends array<bigint>"
+def _lists(column: pa.ListArray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The values of a column of lists, field by field where they are structs, and where each list begins and ends."""
+    values = column.values
+    fields = values.flatten() if pa.types.is_struct(values.type) else [values]
+    return [x.to_numpy(zero_copy_only=False) for x in fields], column.offsets.to_numpy()
 
 
-def folded(known: tuple[list, list, int, int], fresh: np.ndarray, spent: int) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Ranges and times after a batch of ranges (rows ``ps``, ``pe``, ``elapsed``, one per start, in order)."""
-    starts, ends = np.array(known[0], "int64"), np.array(known[1], "int64")
-    total, effective = known[2] + spent, known[3]
-    if fresh.size:
-        ps, pe, elapsed = fresh
-        effective += int((elapsed * newly_covered(starts, ends, ps, pe) // (pe - ps)).sum())
-        starts, ends = join_ranges(np.concatenate([starts, ps]), np.concatenate([ends, pe]))
-    return starts, ends, total, effective
+def folded(
+    starts: np.ndarray, ends: np.ndarray, ps: np.ndarray, pe: np.ndarray, elapsed: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Known ranges with a batch of ranges, one per start and in order, and the effective time these add."""
+    if not len(ps):
+        return starts, ends, 0
+    effective = int((elapsed * newly_covered(starts, ends, ps, pe) // (pe - ps)).sum())
+    return *join_ranges(np.concatenate([starts, ps]), np.concatenate([ends, pe])), effective
 
 
 def fold_coverage(fresh: DataFrame, known: DataFrame | None) -> DataFrame:
     """New ranges and times of the videos of a batch, from :func:`batch_coverage` and the values before it.
 
-    Rows reach Python in Arrow batches, each with its ranges as arrays, not event by event.
+    A video takes one row, with its ranges as arrays, so a hot one is as long as it has seconds.
     """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    columns = ["starts", "ends", "totaltime", "effecttime"]
+    before = ("starts", "array<bigint>"), ("ends", "array<bigint>"), ("totaltime", "bigint"), ("effecttime", "bigint")
     if known is None:
-        kinds = ("array<bigint>", "array<bigint>", "bigint", "bigint")
-        rows = fresh.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip(columns, kinds, strict=True)])
+        rows = fresh.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in before])
     else:
         same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in VIDEO]
-        rows = fresh.join(known.select(*[F.col(k).alias(f"_{k}") for k in VIDEO], *columns), same, "left")
+        rows = fresh.join(known.select(*[F.col(k).alias(f"_{k}") for k in VIDEO], *[c for c, _ in before]), same, "left")
+    nothing = {"array<bigint>": F.array().cast("array<bigint>"), "bigint": F.lit(0).cast("bigint")}
+    filled = [F.coalesce(c, nothing[kind]).alias(c) for c, kind in before]
+    rows = rows.select(*VIDEO, "updatetime", "fresh", *filled[:2], (filled[2] + F.col("spent")).alias("totaltime"), filled[3])
+    kind = T.StructType.fromDDL(FOLDED_SCHEMA)
+    schema = to_arrow_schema(kind)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            for row in batch.to_pylist():
-                ranges = np.array([(r["ps"], r["pe"], r["elapsed"]) for r in row["fresh"]], "int64").reshape(-1, 3).T
-                before = (row["starts"] or [], row["ends"] or [], row["totaltime"] or 0, row["effecttime"] or 0)
-                starts, ends, total, effective = folded(before, ranges, row["spent"])
-                low, high = starts.tolist(), ends.tolist()
-                made.append(
-                    {k: row[k] for k in VIDEO}
-                    | {"totaltime": total, "effecttime": effective, "completetime": int((ends - starts).sum())}
-                    | {"play_interval": ",".join(f"{a}-{b}" for a, b in zip(low, high, strict=True))}
-                    | {"updatetime": row["updatetime"], "starts": low, "ends": high}
+            (ps, pe, elapsed), new = _lists(batch.column("fresh"))
+            (starts,), old = _lists(batch.column("starts"))
+            (ends,), old_ends = _lists(batch.column("ends"))
+            made = [
+                folded(
+                    starts[old[k] : old[k + 1]], ends[old_ends[k] : old_ends[k + 1]],
+                    ps[new[k] : new[k + 1]], pe[new[k] : new[k + 1]], elapsed[new[k] : new[k + 1]],
                 )
-            yield pa.RecordBatch.from_pylist(made, schema)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    kind = T.StructType.fromDDL(FOLDED_SCHEMA)
-    schema = to_arrow_schema(kind)
-    return rows.select(*VIDEO, "fresh", "spent", "updatetime", *columns).mapInArrow(fold, kind)
+                for k in range(batch.num_rows)
+            ]
+            offsets = pa.array(np.cumsum([0, *(len(low) for low, _, _ in made)]), pa.int32())
+            low, high = (np.concatenate([np.zeros(0, np.int64), *(x[side] for x in made)]) for side in (0, 1))
+            columns = {name: batch.column(name) for name in (*VIDEO, "totaltime", "updatetime")} | {
+                "effecttime": batch.column("effecttime").to_numpy() + np.array([x[2] for x in made], np.int64),
+                "completetime": np.array([(b - a).sum() for a, b, _ in made], np.int64),
+                "play_interval": [",".join(f"{a}-{b}" for a, b in zip(x.tolist(), y.tolist(), strict=True)) for x, y, _ in made],
+                "starts": pa.ListArray.from_arrays(offsets, pa.array(low)),
+                "ends": pa.ListArray.from_arrays(offsets, pa.array(high)),
+            }
+            yield pa.RecordBatch.from_arrays(
+                [x if isinstance(x := columns[f.name], pa.Array) and x.type == f.type else pa.array(x, f.type) for f in schema],
+                schema=schema,
+            )
+
+    return rows.mapInArrow(fold, kind)

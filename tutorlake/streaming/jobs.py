@@ -23,7 +23,7 @@ from tutorlake.operators.pages import FUNNEL, add_counts, funnel, page_hits, pag
 from tutorlake.operators.watching import VIDEO, batch_coverage, learn_time
 from tutorlake.sources.streams import page_visits, quiz_answers, registrations, watch_events
 from tutorlake.sources.tables import drop_versions, read_version, write_version
-from tutorlake.streaming.coverage_state import fold_coverage, tracked_coverage
+from tutorlake.streaming.coverage_state import fold_coverage
 from tutorlake.streaming.sinks import (
     add_to_table,
     current,
@@ -88,14 +88,31 @@ def sum_learn_time(
     return start(totals, upsert_table(root, "learn_detail", LEARN_KEY), root, "learn-time", checkpoint, "update", every)
 
 
+def _cover(batch: DataFrame, root: str, table: str, stamp: int) -> None:
+    """Fold what a batch brings into the watched ranges its videos had, and write these videos."""
+    fresh = batch_coverage(batch).persist()
+    try:
+        known = known_keys(batch.sparkSession, root, table, VIDEO, fresh, stamp)
+        upsert_table(root, table, VIDEO)(fold_coverage(fresh, known), stamp)
+    finally:
+        fresh.unpersist()
+
+
 def track_coverage(lines: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Watched ranges and times per learner and video: table ``video_learn_detail``."""
-    tracked = tracked_coverage(watch_events(lines))
-    return start(tracked, upsert_table(root, "video_learn_detail", VIDEO), root, "coverage", checkpoint, "update", every)
+    """Watched ranges and times per learner and video: table ``video_learn_detail``, which is the state.
+
+    Spark reduces a batch to one row per start second of a video; a batch reads the ranges its videos had from the
+    table and writes the new ones.
+    """
+
+    def write(batch: DataFrame, stamp: int) -> None:
+        _cover(batch, root, "video_learn_detail", stamp)
+
+    return start(arriving(watch_events(lines)), write, root, "coverage", checkpoint, "append", every)
 
 
 def coverage_now(spark: SparkSession, root: str) -> DataFrame:
-    return current(spark, root, "video_learn_detail", VIDEO)
+    return current(spark, root, "video_learn_detail", VIDEO).drop("starts", "ends", "updatetime")
 
 
 def track_registrations(
@@ -146,12 +163,9 @@ def track_course_learn(
     def write(batch: DataFrame, stamp: int) -> None:
         batch.persist()
         try:
-            spark = batch.sparkSession
             spent = learn_time(batch, unit_ms, F.max("updatetime").alias("updatetime"))
             add_to_table(root, "learn_time_detail", LEARN_KEY, ["totaltime"], spent, stamp)
-            fresh = batch_coverage(batch)
-            known = known_keys(spark, root, "coverage_detail", VIDEO, fresh, stamp)
-            upsert_table(root, "coverage_detail", VIDEO)(fold_coverage(fresh, known), stamp)
+            _cover(batch, root, "coverage_detail", stamp)
         finally:
             batch.unpersist()
 
