@@ -22,6 +22,14 @@ def test_only_json_objects_survive(spark):
     assert got == [("1",), ("x",), (None,), (None,)]
 
 
+def test_objects_are_whole_to_the_last_character(spark):
+    good = ['{"a":1}', '\t{ "a" :[1,{"b":"}"}] }\r', '{"a":"x{}"}', '{"a":true}', "{ } ", '{"__end":1,"a":"y"}', '{"__bad":1}']
+    bad = ['{"a":1,"b":{2}}', '{"a":1,"b":[,]}', '{"a":"\\u001","b":[]}', '{"a":1,}', '{"a":1,"}', '{"a":}', '{"}', "{,}", "}"]
+    bad += ['{"a":{"b":1}', '{"a":[1}', '{"a":1}x"}', '{"a":1}{}', '{"a":"x\\"}', '{"a":"é', "{'a':1}", '{"__end":1}{}', '{"a":1é}']
+    got = rows(json_objects(lines(spark, *good, *bad), ["a"]))
+    assert sorted(map(str, got)) == sorted(map(str, [("1",), ('[1,{"b":"}"}]',), ("x{}",), ("true",), (None,), ("y",), (None,)]))
+
+
 def test_numbers_read_the_same_bare_and_quoted(spark):
     got = rows(clean(lines(spark, '{"adid": 12, "adname": 5}', '{"adid": "12"}', '{"dn": "w"}'), "dwd_base_ad"))
     assert got == [(0, None, "w"), (12, "5", None), (12, None, None)]
