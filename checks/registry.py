@@ -36,13 +36,26 @@ SCHEMAS: dict[str, T.StructType] = {}
 FACT_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
+# Stored bytes of a task of a spread table: some hundred thousand rows of the given facts.
+PIECE = 8 * 1024 * 1024
+
+
+def stored_bytes(rows: DataFrame) -> int:
+    spark, jvm = rows.sparkSession, rows.sparkSession._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)) for file in rows.inputFiles()]
+    return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in paths)
+
+
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows of a table stored in fewer pieces than there are cores, spread over all cores.
 
-    A table of many files already has a task per piece and is returned as it is, without a shuffle.
+    Tasks get more, not longer, with the table. A table of many files already has a task per piece and is
+    returned as it is, without a shuffle.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(max(cores, stored_bytes(rows) // PIECE), *keys)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -86,9 +99,11 @@ def raw_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     rows = read(spark, sf_dir, ORIGINS[table][0])
     lines = spread(rows, *rows.columns[:4]).select(F.expr(good_line(table)).alias("line"))
     line = F.col("line")
+    # The last character is a brace, so a byte.
+    short = F.substring(line.cast("binary"), F.lit(1), F.octet_length(line) - 1).cast("string")
     broken = [
-        F.left(line, F.length(line) - 1), F.concat(F.lit("["), line, F.lit("]")), F.concat(line, F.lit(" tail")),
-        F.concat(line, line), F.concat(line, F.lit(" x}")), F.translate(line, '"', "'"), F.lit('"text"'), F.lit(""),
+        short, F.concat(F.lit("["), line, F.lit("]")), F.concat(line, F.lit(" tail")),
+        F.concat(line, line), F.concat(line, F.lit(" x}")), F.replace(line, F.lit('"'), F.lit("'")), F.lit('"text"'), F.lit(""),
     ]
     return lines.select(F.explode(F.array(line, *broken)).alias("value"))
 

@@ -8,6 +8,7 @@ from conftest import rows
 
 import __spark_entry__ as contract
 from checks.oracle import all_oracles
+from checks import registry
 from checks.registry import all_queries
 from checks.shapes import TABLES
 from tutorlake.sources.logs import LOGS
@@ -44,3 +45,11 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 def test_entry_gives_rows(spark, sf_dir):
     assert contract.entry(spark).count() == 75
+
+
+def test_spread_tables_get_more_tasks_with_their_bytes(spark, tmp_path, monkeypatch):
+    spark.range(5000).repartition(1).write.parquet(str(tmp_path / "ids"))
+    stored = spark.read.parquet(str(tmp_path / "ids"))
+    monkeypatch.setattr(registry, "PIECE", registry.stored_bytes(stored) // 50)
+    many = registry.spread(stored, "id")
+    assert many.rdd.getNumPartitions() >= 50 and many.count() == 5000
