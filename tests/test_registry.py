@@ -7,8 +7,8 @@ import pytest
 from conftest import rows
 
 import __spark_entry__ as contract
-from checks.oracle import all_oracles
 from checks import registry
+from checks.oracle import all_oracles
 from checks.registry import all_queries
 from checks.shapes import TABLES
 from tutorlake.sources.logs import LOGS
@@ -53,3 +53,15 @@ def test_spread_tables_get_more_tasks_with_their_bytes(spark, tmp_path, monkeypa
     monkeypatch.setattr(registry, "PIECE", registry.stored_bytes(stored) // 50)
     many = registry.spread(stored, "id")
     assert many.rdd.getNumPartitions() >= 50 and many.count() == 5000
+
+
+def test_two_loads_are_parsed_once(spark, sf_dir, monkeypatch):
+    plans, write = [], registry.write_load
+
+    def watched(rows, *place):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(rows, *place)
+
+    monkeypatch.setattr(registry, "write_load", watched)
+    assert registry.two_loads(spark, sf_dir).count() > 0
+    assert len(plans) == 3 and not any("from_json" in plan for plan in plans)
