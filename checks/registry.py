@@ -18,7 +18,7 @@ from tutorlake.operators import learners, member_reports, members, pages, paper_
 from tutorlake.operators.zipper import zipper_merge
 from tutorlake.plans.member_history import add_days, read_history
 from tutorlake.plans.member_sums import update_sums
-from tutorlake.session import fresh_dir, stream_session
+from tutorlake.session import fresh_dir, reusing_session, stream_session
 from tutorlake.sources import streams
 from tutorlake.sources.lines import json_objects
 from tutorlake.sources.logs import LOGS, clean
@@ -193,8 +193,10 @@ ANSWER_WIDE_COLUMNS = [
 
 
 def answer_wide(spark: SparkSession, sf_dir: str, repeat: bool = False) -> DataFrame:
+    sibling = reusing_session(spark)
+
     def part(name: str) -> DataFrame:
-        return view(wide(spark, sf_dir, VIEWS[name].table), name)
+        return view(wide(sibling, sf_dir, VIEWS[name].table), name)
 
     rows = quiz_wide.answer_wide(
         part("qz_answer"), part("wide_course"), part("wide_chapter_question"), part("wide_major"),

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import re
+
 from decimal import Decimal
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from checks.registry import answer_wide
 from tutorlake.operators import paper_reports
 from tutorlake.operators.lists import text_lists
 from tutorlake.operators.paper_reports import RANKED_COLUMNS
+from tutorlake.session import BROADCAST_LIMIT
 
 TEXTS = "chaptername pointname sitecoursename coursename majorname shortname papername".split()
 
@@ -107,3 +111,14 @@ def test_error_rates(answers):
 def test_rates_and_ranks_use_one_pass(answers):
     plan = paper_reports.pass_rates(answers, "d1")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_points_take_the_partitions_of_questions(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = answer_wide(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", BROADCAST_LIMIT)
+    keys = [found for found in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert any("questionid" in found for found in keys)
+    assert not any("questionid" in found and "chapterid" in found for found in keys)

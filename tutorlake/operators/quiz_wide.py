@@ -64,21 +64,26 @@ def answer_wide(
     An answer takes its chapter and the points that have its own question; without one the point's columns
     are null. With ``repeat_chapters`` it appears once for every point and question of its chapter instead,
     as many times as the chapter has questions.
+
+    Answers are shuffled once for a large table, with what was joined before. So papers, which many answers lack, come
+    first, wide texts late, and majors, few enough to be broadcast, last. Points follow questions: a session that
+    :func:`tutorlake.session.build_session` sets up joins them on the partitions of the questions.
     """
     listed = wide_chapter.drop("chapter_sequence", "chapter_status", "chapter_courseid")
     course = wide_course.drop("majorid", "chapterlistid", "pointlistid").withColumnsRenamed(
         {"sitecourse_creator": "course_creator", "sitecourse_createtime": "course_createtime"}
     )
+    question = wide_question.drop("question_score")
     joined = (
         answer.withColumnRenamed("question_answer", "user_question_answer")
         .drop("paperid")
-        .join(course, ["sitecourseid", "dn"])
-        .join(wide_major, ["majorid", "dn"])
         .join(wide_paper.drop("courseid"), ["paperviewid", "dn"])
-        .join(wide_question.drop("question_score"), ["questionid", "dn"])
+        .join(course, ["sitecourseid", "dn"])
     )
     if repeat_chapters:
-        return joined.join(listed.drop("questionid"), ["chapterid", "dn"])
+        asked = joined.join(question, ["questionid", "dn"])
+        return asked.join(listed.drop("questionid"), ["chapterid", "dn"]).join(wide_major, ["majorid", "dn"])
     points = listed.select("chapterid", "questionid", "dn", *POINT_COLUMNS)
     chapters = listed.drop("questionid", *POINT_COLUMNS).distinct()
-    return joined.join(chapters, ["chapterid", "dn"]).join(points, ["chapterid", "questionid", "dn"], "left")
+    asked = joined.join(chapters, ["chapterid", "dn"]).join(question, ["questionid", "dn"])
+    return asked.join(points, ["questionid", "chapterid", "dn"], "left").join(wide_major, ["majorid", "dn"])
