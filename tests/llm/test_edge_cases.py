@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import public_tokenizers
+from tutorlake.llm import packing
 import pytest
 
 import corpus_pipeline
@@ -54,3 +57,20 @@ def test_pipeline_stages(spark, table_dir, empty_dir, tmp_path):
     assert left == {r[0] for r in seen["suffix-dedup"].select("doc_id").collect()}
     assert {r[0] for r in seen["packing"].select("doc_id").distinct().collect()} == left
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+def test_words_of_one_lower_case_are_encoded_once(monkeypatch):
+    encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    whole, asked = encoder.tokenizer, []
+    texts = ["Erlystes erlystes ERLYSTES!", "erlystes.!? ΟΔΟΣ οδος Straße STRASSE İx ix", "Erlystes'S é.É ﬁn FIN,"]
+
+    class Counted:
+        def encode(self, word, **options):
+            asked.append(word)
+            return whole.encode(word, **options)
+
+    encoder.tokenizer = Counted()
+    monkeypatch.setattr(packing, "REMEMBERED", 8)
+    for text in texts:
+        assert encoder.text(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert sum("erlystes" == word.lower() for word in asked) == 1

@@ -25,7 +25,7 @@ LENGTH = 2048
 END = 0
 GROUP = 6000
 REMEMBERED = 400_000
-MARKS = frozenset(".,;:!?")
+MARKS = ".,;:!?"
 
 
 @dataclass(frozen=True)
@@ -47,31 +47,43 @@ class WordEncoder:
     """Token ids as little-endian 32-bit bytes, for a tokenizer whose tokens never span white space.
 
     Texts are cut at spaces and line ends alone; any other white space is left to the tokenizer. So is
-    everything but one mark after nothing but letters, which are tokens of their own. Equal words are
-    encoded once; a memory of ``REMEMBERED`` words starts anew when it is full.
+    everything but marks after nothing but letters, which are tokens of their own. Where the tokenizer lowers
+    letters one by one, a word of letters has the ids of its lower case. Equal words are encoded once; when
+    the memory has ``REMEMBERED`` words it starts anew, and takes words over from the one before as they come up.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str("AÀΣЖ") == "aàσж"
         self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
         found = self.known.get(word)
         if found is None:
+            found = self.before.get(word)
+            if found is None:
+                found = self.made(word)
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
-                self.known[""] = b""
-            letters = word[:-1]
-            if word[-1] in MARKS and letters.isalpha() and letters.lower().isalpha():
-                found = self.word(letters) + self.word(word[-1])
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                found = np.array(ids, "<u4").tobytes()
+                self.before, self.known = self.known, {"": b""}
             self.known[word] = found
         return found
 
+    def made(self, word: str) -> bytes:
+        letters = word.rstrip(MARKS)
+        lower = "".join(map(str.lower, letters)) if self.lowers else letters
+        if not letters.isalpha() or not lower.isalpha():
+            return self.ids(word)
+        if letters != word:
+            return self.word(letters) + self.word(word[len(letters) :])
+        return self.word(lower) if lower != word else self.ids(word)
+
+    def ids(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
     def text(self, text: str) -> bytes:
         return b"".join(map(self.word, text.replace("\n", " ").split(" ")))
 
