@@ -327,6 +327,25 @@ def test_planted_near_copies_go(spark, monkeypatch, tile):
     assert sorted(left, key=str) == sorted([*first, None, *[9] * (root(9) == 9)], key=str)
 
 
+def test_near_copies_by_fingerprint_go_too(spark):
+    """Texts within two bits go though their sets differ, and classes of both kinds that share a document are one."""
+    texts = {90: None, 91: " ", 92: prose(990, 60)}
+    # By order of the keys: near the middle one by sets alone, the middle one, near it by fingerprint alone.
+    orders = [(10, 11, 12), (21, 22, 20), (32, 30, 31), (42, 41, 40)]
+    for n, (sets, middle, mark) in enumerate(orders):
+        said = " ".join(prose(900 + n, 41).split()) + " "
+        tail, other = prose(910 + n, 30), prose(920 + n, 30)
+        texts |= {sets: said + tail, middle: said * 60 + tail, mark: said * 60 + other}
+        fp = [simhash.fingerprint(texts[k].encode()) for k in (sets, middle, mark)]
+        assert (fp[0] ^ fp[1]).bit_count() > 2 and (fp[0] ^ fp[2]).bit_count() > 2 >= (fp[1] ^ fp[2]).bit_count()
+        assert slow_similarity(texts[sets], texts[middle]) >= 0.8
+        assert max(slow_similarity(texts[mark], texts[k]) for k in (sets, middle)) < 0.8
+    docs = spark.createDataFrame([(k, x, "n") for k, x in texts.items()], "doc_id long, text string, node string")
+    left = near_copies.first_of_each(docs)
+    assert left.columns == docs.columns
+    assert {r["doc_id"] for r in left.collect()} == {10, 20, 30, 40, 90, 92}
+
+
 # Suffix arrays ---------------------------------------------------------------------------------
 
 

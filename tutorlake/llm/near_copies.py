@@ -1,6 +1,8 @@
-"""Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies: documents whose SimHash fingerprints are within two bits, found through Golay keys as in
+:mod:`tutorlake.llm.simhash`, or whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates share a band, that is five of the least hashes of their sets; 25 bands find a pair of similarity
+At a similarity of 0.8 fingerprints differ in ten of 64 bits, out of reach of Golay keys, so candidates for the second kind
+share a band, that is five of the least hashes of their sets; 25 bands find a pair of similarity
 0.8 with probability 0.99995 and one of 0.9 with all but 1e-9. Documents reachable over candidates form a cloud, in
 which whole sets are compared, so nothing goes that is not a near copy, directly or over others.
 """
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 from tutorlake.llm.components import components
 from tutorlake.llm.groups import Near, confirmed, linked, sizes_fit
 from tutorlake.llm.shingles import MIX, least_hashes, mixed, shingles
+from tutorlake.llm.simhash import near_duplicates
 from tutorlake.sources.tables import settle
 
 SHINGLE = 5
@@ -89,18 +92,37 @@ def roots(documents: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str
     return components(confirmed(near, nodes, documents, key, text, SHINGLE), "left", "right")
 
 
-def first_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that have a near copy of smaller key, directly or over others.
+def similar(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, root)`` for every row with a key: the least key reachable over sets of similarity 0.8 or more.
 
-    Rows of one key are one document and stay or go together; rows without a key stay. Equal sets, those of
-    blank texts too, are one node whatever the number of rows.
+    Equal sets, those of blank texts too, are one node whatever the number of rows.
     """
-    keyed = documents.where(F.col(key).isNotNull())
-    marks = settle(signatures(keyed, key, text), "signatures")
+    marks = settle(signatures(documents, key, text), "signatures")
     least = marks.groupBy("hi", "lo").agg(F.min(F.struct(F.col(key).alias("node"), "n", "sketch", "bands")).alias("least"))
     nodes = settle(least.select("hi", "lo", "least.*"), "nodes")
-    rooted = nodes.join(roots(keyed, nodes, key, text), "node", "left").select(
+    rooted = nodes.join(roots(documents, nodes, key, text), "node", "left").select(
         "hi", "lo", F.coalesce("root", "node").alias("root")
     )
-    later = marks.select(key, "hi", "lo").join(rooted, ["hi", "lo"]).where(F.col(key) != F.col("root")).select(key)
-    return documents.join(later.distinct(), key, "left_anti").select(*documents.columns)
+    return marks.select(key, "hi", "lo").join(rooted, ["hi", "lo"]).select(key, "root")
+
+
+def first_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without those that have a near copy of smaller key, directly or over others.
+
+    Fingerprints and sets give a class each, and classes that share a document are one. Rows of one key are one
+    document and stay or go together; rows without a key stay.
+    """
+    keyed = documents.where(F.col(key).isNotNull())
+
+    def later(rows: DataFrame, root: str, name: str) -> DataFrame:
+        return settle(rows.where(F.col(key) != F.col(root)).select(F.col(key).alias("node"), F.col(root).alias(name)).distinct(), name)
+
+    marked = later(near_duplicates(keyed, key, text), "component_id", "marked")
+    alike = later(similar(keyed, key, text), "root", "alike")
+    # Only the least documents of classes are linked, so a class of many copies is one node.
+    shared = marked.join(alike, "node", "full").select(
+        F.coalesce("marked", "node").alias("left"), F.coalesce("alike", "node").alias("right")
+    )
+    merged = components(shared, "left", "right").where("node <> root")
+    gone = marked.select("node").union(alike.select("node")).union(merged.select("node")).distinct()
+    return documents.join(gone.toDF(key), key, "left_anti").select(*documents.columns)
