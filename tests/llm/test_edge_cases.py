@@ -8,6 +8,7 @@ from tutorlake.llm import packing
 import pytest
 
 import corpus_pipeline
+from tests.llm.conftest import prose
 from tutorlake.llm.queries import QUERIES
 
 COLUMNS = {
@@ -74,3 +75,30 @@ def test_words_of_one_lower_case_are_encoded_once(monkeypatch):
     for text in texts:
         assert encoder.text(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert sum("erlystes" == word.lower() for word in asked) == 1
+
+
+@pytest.mark.parametrize("at_once, asked, remembered", [(20_000, 256, 400_000), (3, 2, 5), (1, 1, 1), (7, 50, 12)])
+def test_new_words_are_encoded_together(monkeypatch, at_once, asked, remembered):
+    """The ids are those of the whole texts, and many new words take few calls of the tokenizer."""
+    for name, value in (("AT_ONCE", at_once), ("ASKED", asked), ("REMEMBERED", remembered)):
+        monkeypatch.setattr(packing, name, value)
+    encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER))
+    whole, calls = encoder.tokenizer, []
+
+    class Counted:
+        def encode(self, words, **options):
+            calls.append(words)
+            return whole.encode(words, **options)
+
+    plain = [prose(950 + k, 90) + f" made{'abcdefghij'[k % 10] * (k + 1)}" for k in range(30)]
+    odd = [
+        "", " ", "\n\n", "\t \x0b   x ", "it's IT'S 'S 's ''s d'd", "a<|endoftext|>b <|STARTOFTEXT|> <|startoftext|>",
+        "été ́a ́ x̧́", "한 가 한", "İx i̇x İİ ẞ ß ﬁn ǅ ª", "ΟΔΟΣ οδος ΣΣ. Σ",
+        "3rd 1,234.5 x2y #tag$$$ a_b __", "中文 字 ñandú\r\nÉté.", "😀x👩‍👩‍👧 \U0001d400\U0001d401", "\x00a ﻿b c‍d", "." * 50,
+    ]
+    texts = plain + odd + plain[::-1] + odd[::-1]
+    encoder.tokenizer = Counted()
+    coded = list(encoder.texts(texts))
+    assert coded == [np.array(whole.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    if at_once > 100:
+        assert len(calls) < 80 < sum(len(c.split()) for c in calls)

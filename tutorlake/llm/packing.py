@@ -8,7 +8,7 @@ weighted residual, or, by the other rule, fits the residual best in the weighted
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,9 @@ LENGTH = 2048
 END = 0
 GROUP = 6000
 REMEMBERED = 400_000
+AT_ONCE = 20_000
+# Words of one call; the tokenizer takes more time a word for many more.
+ASKED = 256
 MARKS = ".,;:!?"
 
 
@@ -48,8 +51,9 @@ class WordEncoder:
 
     Texts are cut at spaces and line ends alone; any other white space is left to the tokenizer. So is
     everything but marks after nothing but letters, which are tokens of their own. Where the tokenizer lowers
-    letters one by one, a word of letters has the ids of its lower case. Equal words are encoded once; when
-    the memory has ``REMEMBERED`` words it starts anew, and takes words over from the one before as they come up.
+    letters one by one, a word of letters has the ids of its lower case. Equal words are encoded once, and new
+    words go to the tokenizer ``ASKED`` at a time, as their tokens tell by where they start which word they are of.
+    Words are looked up ``AT_ONCE``. A memory of ``REMEMBERED`` words starts anew, and takes words over from the one before as they come up.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
@@ -61,31 +65,91 @@ class WordEncoder:
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
-    def word(self, word: str) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            found = self.before.get(word)
-            if found is None:
-                found = self.made(word)
-            if len(self.known) >= REMEMBERED:
-                self.before, self.known = self.known, {"": b""}
-            self.known[word] = found
-        return found
-
-    def made(self, word: str) -> bytes:
+    def parts(self, word: str) -> tuple[str, str]:
+        """A word the tokenizer is to be asked for, and the marks after it; both together have the ids of ``word``."""
         letters = word.rstrip(MARKS)
-        lower = "".join(map(str.lower, letters)) if self.lowers else letters
+        lower = letters
+        if self.lowers:
+            # A sigma alone is lowered by its place in the word.
+            lower = "".join(map(str.lower, letters)) if "Σ" in letters else letters.lower()
         if not letters.isalpha() or not lower.isalpha():
-            return self.ids(word)
-        if letters != word:
-            return self.word(letters) + self.word(word[len(letters) :])
-        return self.word(lower) if lower != word else self.ids(word)
+            return word, ""
+        return lower, word[len(letters) :]
+
+    def learn(self, words: set[str]) -> None:
+        """Take words into the memory that are not in it."""
+        known, before = self.known, self.before
+        cut, wanted = [], set()
+        for word in words:
+            found = before.get(word)
+            if found is not None:
+                known[word] = found
+            elif word.isalpha() and word.islower():
+                wanted.add(word)
+            else:
+                head, marks = self.parts(word)
+                cut.append((word, head, marks))
+                wanted.update((head, marks))
+        alone, together = [], []
+        for word in wanted:
+            if word in known:
+                continue
+            found = before.get(word)
+            if found is not None:
+                known[word] = found
+            elif word.isascii() and word[0] not in MARKS or word.isalpha() and len(word.lower()) == len(word):
+                together.append(word)
+            else:
+                alone.append(word)
+        for word in alone:
+            known[word] = self.ids(word)[0]
+        for turn in range(0, len(together), ASKED):
+            some = together[turn : turn + ASKED]
+            coded, starts = self.ids(" ".join(some))
+            firsts = np.cumsum([0, *(len(word) + 1 for word in some)])
+            cuts = (4 * np.searchsorted(starts, firsts)).tolist()
+            for word, at, end in zip(some, cuts[:-1], cuts[1:], strict=True):
+                known[word] = coded[at:end]
+        for word, head, marks in cut:
+            known[word] = known[head] + known[marks]
+
+    def ids(self, words: str) -> tuple[bytes, np.ndarray]:
+        """The ids, and where in ``words`` the token of each starts."""
+        coded = self.tokenizer.encode(words, add_special_tokens=False)
+        return np.array(coded.ids, "<u4").tobytes(), np.array(coded.offsets, np.int64).reshape(-1, 2)[:, 0]
+
+    def looked_up(self, words: list[str]) -> list[bytes]:
+        if len(self.known) >= REMEMBERED:
+            self.before, self.known = self.known, {"": b""}
+        found = list(map(self.known.get, words))
+        new = [at for at, ids in enumerate(found) if ids is None]
+        if new:
+            self.learn({words[at] for at in new})
+            for at in new:
+                found[at] = self.known[words[at]]
+        return found
 
-    def ids(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def texts(self, texts: Iterable[str]) -> Iterator[bytes]:
+        words: list[str] = []
+        ends = [0]
+
+        def coded() -> Iterator[bytes]:
+            found: list[bytes] = []
+            for at in range(0, len(words), AT_ONCE):
+                found += self.looked_up(words[at : at + AT_ONCE])
+            for at, end in zip(ends[:-1], ends[1:], strict=True):
+                yield b"".join(found[at:end])
+
+        for text in texts:
+            words += text.replace("\n", " ").split(" ")
+            ends.append(len(words))
+            if len(words) >= AT_ONCE:
+                yield from coded()
+                words, ends = [], [0]
+        yield from coded()
 
     def text(self, text: str) -> bytes:
-        return b"".join(map(self.word, text.replace("\n", " ").split(" ")))
+        return next(self.texts([text]))
 
 
 def pieces(
@@ -114,8 +178,8 @@ def pieces(
         encoder = kept(("word encoder", tokenizer_file), lambda: WordEncoder(tokenizer_file))
         for batch in batches:
             row, piece, start, size, crc, ids = [], [], [], [], [], []
-            for k, x in enumerate(batch.column(1).to_pylist()):
-                coded = encoder.text(x or "") + END.to_bytes(4, "little")
+            for k, x in enumerate(encoder.texts(x or "" for x in batch.column(1).to_pylist())):
+                coded = x + END.to_bytes(4, "little")
                 for n, at in enumerate(range(0, len(coded), 4 * length)):
                     part = coded[at : at + 4 * length]
                     row.append(k)
