@@ -21,14 +21,21 @@ from tutorlake.sources.tables import drop_folder, stored_paths
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # Bytes that a passage of 50 words has at least, but for one in twenty.
 PASSAGE = 250
+# Bytes of rows that a task hands to its Python worker at once. The text of a whole split fits the 64 MB that Spark
+# allows, and then each side holds copies of it.
+HANDED = 4 << 20
 _read_for_good: list[str] = []
 
 
 def stage(work: Stage) -> Stage:
-    """A stage that deletes the working tables of the stage before, whose result has been written by then."""
+    """A stage that deletes the working tables of the stage before, whose result has been written by then.
+
+    It leaves ``HANDED`` as a setting of the session, as its result is worked out after it has returned.
+    """
 
     @wraps(work)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(HANDED))
         while _read_for_good:
             drop_folder(spark, _read_for_good.pop())
         with stored_paths() as paths:
@@ -48,7 +55,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every class of near copies: five-word shingles, similarity 0.8 or more."""
+    """The document of the smallest id of every class of near copies: fingerprints within two bits, or five-word
+    shingles of similarity 0.8 or more.
+    """
     return near_copies.first_of_each(docs)
 
 

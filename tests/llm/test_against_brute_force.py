@@ -16,7 +16,7 @@ import xxhash
 
 import corpus_pipeline
 from tests.llm.conftest import prose
-from tutorlake.llm import decontamination, lm_scoring, near_copies, packing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
+from tutorlake.llm import decontamination, groups, lm_scoring, near_copies, packing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, warc
 from tutorlake.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -346,6 +346,28 @@ def test_near_copies_by_fingerprint_go_too(spark):
     assert {r["doc_id"] for r in left.collect()} == {10, 20, 30, 40, 90, 92}
 
 
+def test_near_copies_of_repeated_keys_are_one(spark):
+    """Rows of one key join the classes of all its texts."""
+    said = [prose(930 + n, 60) for n in range(3)]
+    rows = [(1, said[0]), (5, said[0]), (5, said[1]), (7, said[1]), (8, said[2]), (None, said[2])]
+    left = near_copies.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {tuple(r) for r in left.collect()} == {(1, said[0]), (8, said[2]), (None, said[2])}
+
+
+@pytest.mark.parametrize("bits", [groups.FILTER_BITS, 64])
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch, bits):
+    """Only texts that may go meet the keys of those that do; all others stay where they are read."""
+    monkeypatch.setattr(groups, "FILTER_BITS", bits)
+    docs = spark.createDataFrame([(k if k % 7 else None, f"t{k}") for k in range(60)], "doc_id long, text string")
+    gone = spark.createDataFrame([(k,) for k in range(0, 60, 3)], "doc_id long")
+    left = groups.without(docs, gone, "doc_id")
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.join(gone, "doc_id", "left_anti").collect()))
+    plan = near_copies.first_of_each(docs)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    anti = next(at for at, line in enumerate(plan) if "Join LeftAnti" in line)
+    assert "Union" in plan[0] and any("__bits" in line for line in plan[anti + 1 : anti + 4])
+
+
 # Suffix arrays ---------------------------------------------------------------------------------
 
 

@@ -190,6 +190,19 @@ def linked(
     return links.union(_steps(sides, measure, rooted=True)).distinct()
 
 
+def _word(column: str) -> F.Column:
+    return F.shiftright(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)), 6)
+
+
+def _bit(column: str) -> F.Column:
+    return F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))")
+
+
+def _words(wanted: DataFrame, name: str) -> DataFrame:
+    """The words of a filter of one hash and ``FILTER_BITS`` bits over the values of ``name``."""
+    return wanted.groupBy(_word(name).alias("__word")).agg(F.bit_or(_bit(name)).alias("__bits"))
+
+
 def possible(documents: DataFrame, wanted: DataFrame, key: str, name: str) -> DataFrame:
     """The rows of ``documents`` whose key may be among ``wanted``: all that are, and a few others.
 
@@ -197,15 +210,20 @@ def possible(documents: DataFrame, wanted: DataFrame, key: str, name: str) -> Da
     broadcast whatever the input. It saves shuffling the texts of all other documents; beyond some million keys it
     keeps most rows, and what follows is as right without it.
     """
-    def word(column: str) -> F.Column:
-        return F.shiftright(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)), 6)
+    met = documents.join(F.broadcast(_words(wanted, name)), _word(key) == F.col("__word"))
+    return met.where(F.col("__bits").bitwiseAND(_bit(key)) != 0).drop("__word", "__bits")
 
-    def bit(column: str) -> F.Column:
-        return F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), 64) as int))")
 
-    words = wanted.groupBy(word(name).alias("__word")).agg(F.bit_or(bit(name)).alias("__bits"))
-    met = documents.join(F.broadcast(words), word(key) == F.col("__word"))
-    return met.where(F.col("__bits").bitwiseAND(bit(key)) != 0).drop("__word", "__bits")
+def without(documents: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``documents`` whose key is not among the keys of ``gone``; rows without a key stay.
+
+    Rows that the filter of :func:`possible` lets through are kept where they stand, so that only the texts of those that
+    may go are shuffled and sorted.
+    """
+    met = documents.join(F.broadcast(_words(gone, key)), _word(key) == F.col("__word"), "left")
+    met = met.withColumn("__maybe", F.coalesce(F.col("__bits").bitwiseAND(_bit(key)) != 0, F.lit(False)))
+    sure = met.where(~F.col("__maybe")).select(*documents.columns)
+    return sure.union(met.where("__maybe").select(*documents.columns).join(gone.select(key), key, "left_anti").select(*documents.columns))
 
 
 def confirmed(links: DataFrame, nodes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int) -> DataFrame:

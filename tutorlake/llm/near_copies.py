@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tutorlake.llm.components import components
-from tutorlake.llm.groups import Near, confirmed, linked, sizes_fit
+from tutorlake.llm.groups import Near, confirmed, linked, sizes_fit, without
 from tutorlake.llm.shingles import MIX, least_hashes, mixed, shingles
-from tutorlake.llm.simhash import near_duplicates
+from tutorlake.llm.simhash import fingerprint, links
 from tutorlake.sources.tables import settle
 
 SHINGLE = 5
@@ -42,11 +42,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n, hi, lo, sketch, bands)``: the set's size and 128 bits that name it, a sketch of 128 bits, the band keys."""
+    """``(key, fp, n, hi, lo, sketch, bands)``: the SimHash fingerprint, the set's size and 128 bits that name it, a
+    sketch of 128 bits, the band keys.
+    """
     schema = T.StructType(
         [
             documents.schema[key],
-            *(T.StructField(c, T.LongType()) for c in ("n", "hi", "lo")),
+            *(T.StructField(c, T.LongType()) for c in ("fp", "n", "hi", "lo")),
             T.StructField("sketch", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
         ]
@@ -54,18 +56,20 @@ def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, sketches, bands = np.zeros((len(batch), 3), np.int64), [], []
+            marks, sketches, bands = np.zeros((len(batch), 4), np.int64), [], []
             for k, x in enumerate(batch.column(1)):
-                found = shingles(x.as_py(), SHINGLE)
+                body = x.as_py()
+                marks[k, 0] = np.uint64(fingerprint(body)).view(np.int64)
+                found = shingles(body, SHINGLE)
                 if not len(found):
                     sketches.append(b"")
                     bands.append(np.zeros(0, np.int64))
                     continue
                 least = least_hashes(found)
-                marks[k] = len(found), *np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8")
+                marks[k, 1:] = len(found), *np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8")
                 sketches.append(np.packbits((mixed(least) >> np.uint64(63)).astype(np.uint8)).tobytes())
                 bands.append(band_keys(least).view(np.int64))
-            columns = [pa.array(marks[:, c].copy()) for c in range(3)]
+            columns = [pa.array(marks[:, c].copy()) for c in range(4)]
             columns += [pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
@@ -82,47 +86,51 @@ def sketches_near(sizes: np.ndarray, marks: list[bytes]) -> Near:
     return near
 
 
-def roots(documents: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(node, root)`` for the ``nodes (node, n, sketch, bands)`` with a near copy: the least node it can reach."""
+def by_sets(documents: DataFrame, nodes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Links ``(left, right)`` that join all ``nodes (node, n, sketch, bands)`` of similarity 0.8 or more."""
     keys = nodes.select("node", F.explode("bands").alias("group"))
     sizes = keys.groupBy("group").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = keys.join(sizes, "group").join(nodes.select("node", "n", F.col("sketch").alias("mark")), "node")
     met = settle(met.select("group", "size", "node", "n", "mark"), "bands")
     near = linked(met, sketches_near, TILE, not met.where(F.col("size") > TILE).isEmpty(), "near")
-    return components(confirmed(near, nodes, documents, key, text, SHINGLE), "left", "right")
+    return confirmed(near, nodes, documents, key, text, SHINGLE)
+
+
+def by_shared(rows: DataFrame, name: str) -> DataFrame:
+    """Links ``(left, right)`` that join all nodes of ``rows (name, node)`` with the same value of ``name``."""
+    least = rows.groupBy(name).agg(F.min("node").alias("right"), F.max("node").alias("last")).where(F.col("right") < F.col("last"))
+    return rows.join(least, name).select(F.col("node").alias("left"), "right")
+
+
+def by_fingerprints(marks: DataFrame) -> DataFrame:
+    """Links ``(left, right)`` that join all nodes of ``marks (fp, node)`` whose fingerprints are within two bits."""
+    least = marks.groupBy("fp").agg(F.min("node").alias("least"))
+    close = links(marks)
+    for side in ("left", "right"):
+        close = close.join(least.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_node")), side)
+    return by_shared(marks, "fp").union(close.select("left_node", "right_node"))
 
 
-def similar(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, root)`` for every row with a key: the least key reachable over sets of similarity 0.8 or more.
+def later_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The keys that have a near copy of smaller key, directly or over others, each once.
 
-    Equal sets, those of blank texts too, are one node whatever the number of rows.
+    Equal sets, those of blank texts too, are one node whatever the number of rows, named by the least key. Links of
+    fingerprints, of sets and of the rows of one key make one graph, so classes that share a document are one.
     """
     marks = settle(signatures(documents, key, text), "signatures")
     least = marks.groupBy("hi", "lo").agg(F.min(F.struct(F.col(key).alias("node"), "n", "sketch", "bands")).alias("least"))
     nodes = settle(least.select("hi", "lo", "least.*"), "nodes")
-    rooted = nodes.join(roots(documents, nodes, key, text), "node", "left").select(
-        "hi", "lo", F.coalesce("root", "node").alias("root")
-    )
-    return marks.select(key, "hi", "lo").join(rooted, ["hi", "lo"]).select(key, "root")
+    placed = marks.select(key, "fp", "hi", "lo").join(nodes.select("hi", "lo", "node"), ["hi", "lo"])
+    placed = settle(placed.select(key, "fp", "node"), "placed")
+    marked = settle(placed.select("fp", "node").distinct(), "marked")
+    found = by_sets(documents, nodes, key, text).union(by_fingerprints(marked)).union(by_shared(placed.select(key, "node"), key))
+    rooted = placed.select(key, "node").join(components(found, "left", "right"), "node", "left")
+    return settle(rooted.where(F.col(key) != F.coalesce("root", "node")).select(key).distinct(), "later")
 
 
 def first_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those that have a near copy of smaller key, directly or over others.
 
-    Fingerprints and sets give a class each, and classes that share a document are one. Rows of one key are one
-    document and stay or go together; rows without a key stay.
+    Rows of one key are one document and stay or go together; rows without a key stay.
     """
-    keyed = documents.where(F.col(key).isNotNull())
-
-    def later(rows: DataFrame, root: str, name: str) -> DataFrame:
-        return settle(rows.where(F.col(key) != F.col(root)).select(F.col(key).alias("node"), F.col(root).alias(name)).distinct(), name)
-
-    marked = later(near_duplicates(keyed, key, text), "component_id", "marked")
-    alike = later(similar(keyed, key, text), "root", "alike")
-    # Only the least documents of classes are linked, so a class of many copies is one node.
-    shared = marked.join(alike, "node", "full").select(
-        F.coalesce("marked", "node").alias("left"), F.coalesce("alike", "node").alias("right")
-    )
-    merged = components(shared, "left", "right").where("node <> root")
-    gone = marked.select("node").union(alike.select("node")).union(merged.select("node")).distinct()
-    return documents.join(gone.toDF(key), key, "left_anti").select(*documents.columns)
+    return without(documents, later_copies(documents.where(F.col(key).isNotNull()), key, text), key)
